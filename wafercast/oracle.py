@@ -136,3 +136,145 @@ q AS (SELECT l.wafer_id, h.h, h.w FROM row_len l JOIN hdr h USING (wafer_id)
       GROUP BY l.wafer_id, h.h, h.w HAVING count(DISTINCT l.len) > 1)
 SELECT * FROM q
 """)
+
+
+# --- regions -----------------------------------------------------------------
+
+REGION_CTES = """
+dcell AS (SELECT wafer_id, r, c FROM rs WHERE v = 2),
+runs0 AS (SELECT wafer_id, r, c, c - row_number() OVER (PARTITION BY wafer_id, r ORDER BY c) AS g FROM dcell),
+nodes AS (SELECT wafer_id, r, min(c) AS c0, max(c) AS c1, r * 64 + min(c) AS id FROM runs0 GROUP BY wafer_id, r, g),
+edges AS (
+  SELECT a.wafer_id, a.id AS src, b.id AS dst FROM nodes a JOIN nodes b
+    ON a.wafer_id = b.wafer_id AND b.r = a.r + 1 AND b.c0 <= a.c1 AND a.c0 <= b.c1
+  UNION ALL
+  SELECT a.wafer_id, b.id AS src, a.id AS dst FROM nodes a JOIN nodes b
+    ON a.wafer_id = b.wafer_id AND b.r = a.r + 1 AND b.c0 <= a.c1 AND a.c0 <= b.c1),
+reach(wafer_id, src, dst) AS (
+  SELECT wafer_id, id, id FROM nodes
+  UNION
+  SELECT e.wafer_id, x.src, e.dst FROM reach x JOIN edges e ON e.wafer_id = x.wafer_id AND e.src = x.dst),
+comp AS (SELECT wafer_id, src AS id, min(dst) AS region FROM reach GROUP BY wafer_id, src),
+rcell AS (
+  SELECT d.wafer_id, cp.region, d.r, d.c
+  FROM dcell d JOIN nodes n ON n.wafer_id = d.wafer_id AND n.r = d.r AND d.c BETWEEN n.c0 AND n.c1
+  JOIN comp cp ON cp.wafer_id = n.wafer_id AND cp.id = n.id),
+reg AS (SELECT wafer_id, region, count(*) AS area FROM rcell GROUP BY wafer_id, region),
+best AS (
+  SELECT wafer_id, region, area FROM (
+    SELECT *, row_number() OVER (PARTITION BY wafer_id ORDER BY area DESC, region) AS rn FROM reg) WHERE rn = 1),
+lc AS (SELECT c.wafer_id, c.r, c.c FROM rcell c JOIN best b ON b.wafer_id = c.wafer_id AND b.region = c.region)
+"""
+
+
+def with_regions(body: str) -> str:
+    return "WITH RECURSIVE " + WAFER_CTES.strip() + ",\n" + REGION_CTES.strip() + ",\n" + body
+
+
+REGIONS = with_regions("""
+q AS (SELECT wafer_id, area, CAST(region // 64 AS INTEGER) AS first_r, CAST(region % 64 AS INTEGER) AS first_c FROM reg)
+SELECT * FROM q
+""")
+
+REGION_SUMMARY = with_regions("""
+cntr AS (SELECT wafer_id, count(*) AS n FROM reg GROUP BY wafer_id),
+q AS (
+  SELECT ci.wafer_id, CAST(coalesce(cntr.n, 0) AS INTEGER) AS num_regions,
+         CAST(coalesce(b.area, 0) AS BIGINT) AS largest_area,
+         CAST(coalesce(b.region // 64, -1) AS INTEGER) AS largest_r,
+         CAST(coalesce(b.region % 64, -1) AS INTEGER) AS largest_c
+  FROM clean_ids ci LEFT JOIN cntr USING (wafer_id) LEFT JOIN best b USING (wafer_id))
+SELECT * FROM q
+""")
+
+PERIMETER_CTES = """
+off4 AS (SELECT * FROM (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)) t(dr, dc)),
+off8 AS (SELECT * FROM (VALUES (-1, 0, 2), (1, 0, 2), (0, -1, 2), (0, 1, 2),
+                               (-1, -1, 10), (-1, 1, 10), (1, -1, 10), (1, 1, 10)) t(dr, dc, wt)),
+n4 AS (
+  SELECT a.wafer_id, a.r, a.c, count(b.r) AS k
+  FROM lc a CROSS JOIN off4 o
+  LEFT JOIN lc b ON b.wafer_id = a.wafer_id AND b.r = a.r + o.dr AND b.c = a.c + o.dc
+  GROUP BY a.wafer_id, a.r, a.c),
+bd AS (SELECT wafer_id, r, c FROM n4 WHERE k < 4),
+codes AS (
+  SELECT a.wafer_id, a.r, a.c, 1 + coalesce(sum(CASE WHEN b.r IS NOT NULL THEN o.wt ELSE 0 END), 0) AS code
+  FROM bd a CROSS JOIN off8 o
+  LEFT JOIN bd b ON b.wafer_id = a.wafer_id AND b.r = a.r + o.dr AND b.c = a.c + o.dc
+  GROUP BY a.wafer_id, a.r, a.c),
+per AS (
+  SELECT wafer_id,
+    sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1 ELSE 0 END) AS n_one,
+    sum(CASE WHEN code IN (21, 33) THEN 1 ELSE 0 END) AS n_sqrt2,
+    sum(CASE WHEN code IN (13, 23) THEN 1 ELSE 0 END) AS n_half
+  FROM codes GROUP BY wafer_id),
+perim AS (
+  SELECT ci.wafer_id,
+    coalesce(CAST(n_one AS DOUBLE) + CAST(n_sqrt2 AS DOUBLE) * sqrt(2.0) + CAST(n_half AS DOUBLE) * ((1.0 + sqrt(2.0)) / 2.0), 0.0) AS geom_perimeter
+  FROM clean_ids ci LEFT JOIN per USING (wafer_id))
+"""
+
+REGION_PERIMETER = with_regions(PERIMETER_CTES.strip() + f""",
+q AS (SELECT wafer_id, round(geom_perimeter, {R6}) AS geom_perimeter FROM perim)
+SELECT * FROM q
+""")
+
+AXES_CTES = """
+mom AS (
+  SELECT wafer_id, CAST(count(*) AS DOUBLE) AS a, CAST(sum(r) AS BIGINT) AS sr, CAST(sum(c) AS BIGINT) AS sc,
+         CAST(sum(r * r) AS BIGINT) AS srr, CAST(sum(c * c) AS BIGINT) AS scc, CAST(sum(r * c) AS BIGINT) AS src
+  FROM lc GROUP BY wafer_id),
+mom1 AS (SELECT wafer_id, a, srr, scc, src, sr / a AS mr, sc / a AS mc FROM mom),
+mom2 AS (SELECT wafer_id, srr / a - mr * mr AS vrr, scc / a - mc * mc AS vcc, src / a - mr * mc AS vrc FROM mom1),
+mom3 AS (SELECT wafer_id, (vrr + vcc) / 2 AS half, sqrt(((vrr - vcc) / 2) * ((vrr - vcc) / 2) + vrc * vrc) AS rad FROM mom2),
+eig AS (SELECT wafer_id, greatest(half + rad, 0.0) AS l1, greatest(half - rad, 0.0) AS l2 FROM mom3),
+axes AS (
+  SELECT ci.wafer_id,
+    coalesce(4 * sqrt(l1), 0.0) AS geom_major_axis,
+    coalesce(4 * sqrt(l2), 0.0) AS geom_minor_axis,
+    CASE WHEN l1 > 0 THEN sqrt(1 - l2 / l1) ELSE 0.0 END AS geom_eccentricity
+  FROM clean_ids ci LEFT JOIN eig USING (wafer_id))
+"""
+
+REGION_AXES = with_regions(AXES_CTES.strip() + f""",
+q AS (SELECT wafer_id, round(geom_major_axis, {R6}) AS geom_major_axis, round(geom_minor_axis, {R6}) AS geom_minor_axis,
+  round(geom_eccentricity, {R6}) AS geom_eccentricity FROM axes)
+SELECT * FROM q
+""")
+
+# hull pixels: every integer row Y of the hull of the pixel-edge midpoints
+# spans [L(Y), R(Y)], with R(Y) the largest interpolation over point pairs
+# straddling Y (coordinates doubled and shifted by +2 to stay integer > 0)
+SOLIDITY_CTES = """
+ext AS (SELECT wafer_id, r, min(c) AS lo, max(c) AS hi FROM lc GROUP BY wafer_id, r),
+pts AS (
+  SELECT wafer_id, 2 * r - 1 AS y, 2 * hi + 2 AS xr, 2 * lo + 2 AS xl FROM ext
+  UNION ALL SELECT wafer_id, 2 * r + 1, 2 * hi + 2, 2 * lo + 2 FROM ext
+  UNION ALL SELECT wafer_id, 2 * r, 2 * hi + 3, 2 * lo + 1 FROM ext),
+lvl AS (SELECT wafer_id, y, max(xr) AS xr, min(xl) AS xl FROM pts GROUP BY wafer_id, y),
+yrows AS (SELECT wafer_id, 2 * r AS yy FROM ext),
+allrows AS (
+  SELECT e.wafer_id, CAST(2 * i.i AS BIGINT) AS yy FROM (SELECT wafer_id, min(r) AS r0, max(r) AS r1 FROM ext GROUP BY wafer_id) e
+  JOIN idx64 i ON i.i BETWEEN e.r0 AND e.r1),
+pairs AS (
+  SELECT p.wafer_id, p.y AS y1, q.y AS y2, p.xr AS r1, q.xr AS r2, p.xl AS l1, q.xl AS l2
+  FROM lvl p JOIN lvl q ON q.wafer_id = p.wafer_id AND q.y >= p.y),
+spans AS (
+  SELECT a.wafer_id, a.yy,
+    max(CASE WHEN s.y1 = s.y2 THEN s.r1 // 2
+             ELSE (s.r1 * (s.y2 - s.y1) + (s.r2 - s.r1) * (a.yy - s.y1)) // (2 * (s.y2 - s.y1)) END) AS jhi,
+    min(CASE WHEN s.y1 = s.y2 THEN (s.l1 + 1) // 2
+             ELSE (s.l1 * (s.y2 - s.y1) + (s.l2 - s.l1) * (a.yy - s.y1) + 2 * (s.y2 - s.y1) - 1) // (2 * (s.y2 - s.y1)) END) AS jlo
+  FROM allrows a JOIN pairs s ON s.wafer_id = a.wafer_id AND s.y1 <= a.yy AND a.yy <= s.y2
+  GROUP BY a.wafer_id, a.yy),
+hull AS (SELECT wafer_id, sum(CASE WHEN jhi >= jlo THEN jhi - jlo + 1 ELSE 0 END) AS hull_area FROM spans GROUP BY wafer_id),
+solid AS (
+  SELECT ci.wafer_id, CAST(coalesce(h.hull_area, 0) AS BIGINT) AS hull_area,
+         CASE WHEN h.hull_area > 0 THEN CAST(b.area AS DOUBLE) / h.hull_area ELSE 0.0 END AS geom_solidity
+  FROM clean_ids ci LEFT JOIN hull h USING (wafer_id) LEFT JOIN best b USING (wafer_id))
+"""
+
+REGION_SOLIDITY = with_regions(SOLIDITY_CTES.strip() + f""",
+q AS (SELECT wafer_id, hull_area, round(geom_solidity, {R6}) AS geom_solidity FROM solid)
+SELECT * FROM q
+""")

@@ -40,3 +40,56 @@ def q_zone_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_wafer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wafer_stats(clean_maps(spark, sf_dir), decimals=R6)
+
+
+# --- regions (F2-F10) --------------------------------------------------------
+
+def _labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.regions import label_regions
+    return label_regions(clean_maps(spark, sf_dir))
+
+
+def q_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 4-connected defect region: area and raster-first cell."""
+    from ..operators.regions import region_rows
+    return region_rows(_labeled(spark, sf_dir))
+
+
+def q_region_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 + F4: region count and the largest region (ties -> raster-first)."""
+    from pyspark.sql import functions as F
+    df = _labeled(spark, sf_dir).withColumn("best", F.expr("array_max(regions)"))
+    return df.select(
+        "wafer_id",
+        F.size("regions").alias("num_regions"),
+        F.coalesce(F.col("best.area"), F.lit(0)).alias("largest_area"),
+        F.expr("IF(best IS NULL, -1, runs[best.label].r)").alias("largest_r"),
+        F.expr("IF(best IS NULL, -1, runs[best.label].c0)").alias("largest_c"),
+    )
+
+
+def q_region_perimeter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..operators.regions import largest_region
+    df = largest_region(_labeled(spark, sf_dir))
+    return df.select("wafer_id", F.round("perimeter", R6).alias("geom_perimeter"))
+
+
+def q_region_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..operators.regions import axes_cols
+    df = _labeled(spark, sf_dir).withColumn("best", F.expr("array_max(regions)"))
+    return df.select("wafer_id", *[F.round(c, R6).alias(k) for k, c in axes_cols().items()])
+
+
+def q_region_solidity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..operators.regions import with_solidity
+    df = with_solidity(_labeled(spark, sf_dir).withColumn("best", F.expr("array_max(regions)")))
+    return df.select("wafer_id", F.col("hull_area").cast("bigint").alias("hull_area"),
+                     F.round("geom_solidity", R6).alias("geom_solidity"))
+
+
+def q_wafer_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.regions import geometry
+    return geometry(clean_maps(spark, sf_dir), decimals=R6)
