@@ -278,3 +278,60 @@ REGION_SOLIDITY = with_regions(SOLIDITY_CTES.strip() + f""",
 q AS (SELECT wafer_id, hull_area, round(geom_solidity, {R6}) AS geom_solidity FROM solid)
 SELECT * FROM q
 """)
+
+
+# --- Radon -------------------------------------------------------------------
+
+def _radon_ctes(bins: list[int] | None) -> str:
+    where = "" if bins is None else "WHERE xs.i IN (" + ", ".join(str(b) for b in bins) + ")"
+    return f"""
+idx91 AS (SELECT CAST(range AS INTEGER) AS i FROM range(91)),
+ang AS (SELECT CAST(range AS INTEGER) AS t FROM range(72)),
+grid AS (
+  SELECT a.t, xs.i AS x, ys.i AS y, cos(a.t * 2.5 * (pi() / 180.0)) AS ca, sin(a.t * 2.5 * (pi() / 180.0)) AS sa
+  FROM ang a CROSS JOIN idx91 xs CROSS JOIN idx91 ys {where}),
+src AS (SELECT t, x, ca * x + sa * y - 45.0 * (ca + sa - 1.0) AS sc, -sa * x + ca * y - 45.0 * (ca - sa - 1.0) AS sr FROM grid),
+fl AS (SELECT t, x, CAST(floor(sr) AS INTEGER) AS r0, CAST(floor(sc) AS INTEGER) AS c0,
+              sr - floor(sr) AS dr, sc - floor(sc) AS dc FROM src),
+corner AS (
+  SELECT t, x, r0 AS pr, c0 AS pc, (1 - dr) * (1 - dc) AS w FROM fl
+  UNION ALL SELECT t, x, r0, c0 + 1, (1 - dr) * dc FROM fl
+  UNION ALL SELECT t, x, r0 + 1, c0, dr * (1 - dc) FROM fl
+  UNION ALL SELECT t, x, r0 + 1, c0 + 1, dr * dc FROM fl),
+proj AS (
+  SELECT t AS theta_idx, x AS bin, pr - 13 AS r, pc - 13 AS c, sum(w) AS wt FROM corner
+  WHERE pr - 13 BETWEEN 0 AND 63 AND pc - 13 BETWEEN 0 AND 63 AND w > 0
+  GROUP BY t, x, pr, pc HAVING sum(w) > 1e-9),
+dfc AS (SELECT wafer_id, r, c FROM rs WHERE v = 2),
+sino AS (
+  SELECT d.wafer_id, p.theta_idx, p.bin, 2.0 * sum(p.wt) AS s
+  FROM dfc d JOIN proj p ON p.r = d.r AND p.c = d.c GROUP BY d.wafer_id, p.theta_idx, p.bin),
+prof0 AS (SELECT wafer_id, bin, sum(s) / 72.0 AS mean, sum(s * s) / 72.0 AS m2 FROM sino GROUP BY wafer_id, bin),
+prof AS (SELECT wafer_id, bin, mean, sqrt(greatest(m2 - mean * mean, 0.0)) AS std FROM prof0)
+"""
+
+
+RADON_SINOGRAM = with_wafers(_radon_ctes(None).strip() + f""",
+q AS (SELECT wafer_id, bin, round(mean, {R6}) AS mean, round(std, {R6}) AS std FROM prof)
+SELECT * FROM q
+""")
+
+
+def _radon_profile_sql() -> str:
+    from .operators.radon import needed_bins, sample_points
+    cols = []
+    for stat, prefix in (("mean", "radon_mean_"), ("std", "radon_std_")):
+        for k, lo, hi, x in sample_points():
+            y_lo = f"sum(CASE WHEN bin = {lo} THEN {stat} ELSE 0.0 END)"
+            y_hi = f"sum(CASE WHEN bin = {hi} THEN {stat} ELSE 0.0 END)"
+            cols.append(f"({y_hi} - {y_lo}) * {repr(float(x - lo))} + {y_lo} AS {prefix}{k + 1}")
+    names = [f"radon_mean_{i}" for i in range(1, 21)] + [f"radon_std_{i}" for i in range(1, 21)]
+    outer = ", ".join(f"round(coalesce(f.{n}, 0.0), {R6}) AS {n}" for n in names)
+    return with_wafers(_radon_ctes(needed_bins()).strip() + f""",
+feats AS (SELECT wafer_id, {", ".join(cols)} FROM prof GROUP BY wafer_id),
+q AS (SELECT ci.wafer_id, {outer} FROM clean_ids ci LEFT JOIN feats f USING (wafer_id))
+SELECT * FROM q
+""")
+
+
+RADON_PROFILE = _radon_profile_sql()

@@ -93,3 +93,18 @@ def q_region_solidity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_wafer_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.regions import geometry
     return geometry(clean_maps(spark, sf_dir), decimals=R6)
+
+
+# --- Radon (E4, E5) ------------------------------------------------------------
+
+def q_radon_sinogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 + the per-bin profile: mean and population std over 72 angles."""
+    from pyspark.sql import functions as F
+    from ..operators.radon import bin_profile, projection, sinogram
+    prof = bin_profile(sinogram(clean_maps(spark, sf_dir), projection(spark)))
+    return prof.select("wafer_id", "bin", F.round("mean", R6).alias("mean"), F.round("std", R6).alias("std"))
+
+
+def q_radon_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.radon import profile_features
+    return profile_features(clean_maps(spark, sf_dir), spark, decimals=R6)
