@@ -220,14 +220,14 @@ SELECT * FROM q
 """)
 
 AXES_CTES = """
-mom AS (
+amom AS (
   SELECT wafer_id, CAST(count(*) AS DOUBLE) AS a, CAST(sum(r) AS BIGINT) AS sr, CAST(sum(c) AS BIGINT) AS sc,
          CAST(sum(r * r) AS BIGINT) AS srr, CAST(sum(c * c) AS BIGINT) AS scc, CAST(sum(r * c) AS BIGINT) AS src
   FROM lc GROUP BY wafer_id),
-mom1 AS (SELECT wafer_id, a, srr, scc, src, sr / a AS mr, sc / a AS mc FROM mom),
-mom2 AS (SELECT wafer_id, srr / a - mr * mr AS vrr, scc / a - mc * mc AS vcc, src / a - mr * mc AS vrc FROM mom1),
-mom3 AS (SELECT wafer_id, (vrr + vcc) / 2 AS half, sqrt(((vrr - vcc) / 2) * ((vrr - vcc) / 2) + vrc * vrc) AS rad FROM mom2),
-eig AS (SELECT wafer_id, greatest(half + rad, 0.0) AS l1, greatest(half - rad, 0.0) AS l2 FROM mom3),
+amom1 AS (SELECT wafer_id, a, srr, scc, src, sr / a AS mr, sc / a AS mc FROM amom),
+amom2 AS (SELECT wafer_id, srr / a - mr * mr AS vrr, scc / a - mc * mc AS vcc, src / a - mr * mc AS vrc FROM amom1),
+amom3 AS (SELECT wafer_id, (vrr + vcc) / 2 AS half, sqrt(((vrr - vcc) / 2) * ((vrr - vcc) / 2) + vrc * vrc) AS rad FROM amom2),
+eig AS (SELECT wafer_id, greatest(half + rad, 0.0) AS l1, greatest(half - rad, 0.0) AS l2 FROM amom3),
 axes AS (
   SELECT ci.wafer_id,
     coalesce(4 * sqrt(l1), 0.0) AS geom_major_axis,
@@ -335,3 +335,41 @@ SELECT * FROM q
 
 
 RADON_PROFILE = _radon_profile_sql()
+
+
+# --- all 66 features ----------------------------------------------------------
+
+def _wafer_features_sql() -> str:
+    from .operators.radon import needed_bins, sample_points
+    from .functions.constants import FEATURE_NAMES
+    rcols = []
+    for stat, prefix in (("mean", "radon_mean_"), ("std", "radon_std_")):
+        for k, lo, hi, x in sample_points():
+            y_lo = f"sum(CASE WHEN bin = {lo} THEN {stat} ELSE 0.0 END)"
+            y_hi = f"sum(CASE WHEN bin = {hi} THEN {stat} ELSE 0.0 END)"
+            rcols.append(f"({y_hi} - {y_lo}) * {repr(float(x - lo))} + {y_lo} AS {prefix}{k + 1}")
+    dens = _zone_cols().replace(f", {R6}) AS", ", 12) AS")
+    sel = []
+    for n in FEATURE_NAMES:
+        src = f"coalesce(rf.{n}, 0.0)" if n.startswith("radon") else n
+        sel.append(f"round({src}, {R6}) AS {n}")
+    body = (STATS_CTE.strip() + ",\n" + REGION_CTES.strip() + ",\n" + PERIMETER_CTES.strip() + ",\n"
+            + AXES_CTES.strip() + ",\n" + SOLIDITY_CTES.strip() + ",\n" + _radon_ctes(needed_bins()).strip() + f""",
+dz AS (SELECT wafer_id, {dens} FROM rs GROUP BY wafer_id),
+rf AS (SELECT wafer_id, {", ".join(rcols)} FROM prof GROUP BY wafer_id),
+geo AS (
+  SELECT ci.wafer_id, CAST(coalesce(b.area, 0) AS DOUBLE) AS geom_area, p.geom_perimeter, a.geom_major_axis,
+         a.geom_minor_axis, a.geom_eccentricity, s.geom_solidity,
+         CAST(coalesce(nr.n, 0) AS DOUBLE) AS geom_num_regions
+  FROM clean_ids ci LEFT JOIN best b USING (wafer_id) JOIN perim p USING (wafer_id) JOIN axes a USING (wafer_id)
+  JOIN solid s USING (wafer_id) LEFT JOIN (SELECT wafer_id, count(*) AS n FROM reg GROUP BY wafer_id) nr USING (wafer_id)),
+q AS (
+  SELECT ci.wafer_id, {", ".join(sel)}, ci.label AS target
+  FROM clean_ids ci JOIN dz USING (wafer_id) LEFT JOIN rf USING (wafer_id) JOIN geo USING (wafer_id)
+  JOIN stats USING (wafer_id))
+SELECT * FROM q
+""")
+    return "WITH RECURSIVE " + WAFER_CTES.strip() + ",\n" + body
+
+
+WAFER_FEATURES = _wafer_features_sql()

@@ -108,3 +108,10 @@ def q_radon_sinogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_radon_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.radon import profile_features
     return profile_features(clean_maps(spark, sf_dir), spark, decimals=R6)
+
+
+# --- all 66 features (E6, E7, C9, C10, G1, F10) --------------------------------
+
+def q_wafer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.features import wafer_features
+    return wafer_features(spark, clean_maps(spark, sf_dir), decimals=R6)
