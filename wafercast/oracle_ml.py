@@ -169,3 +169,56 @@ a0 AS (SELECT cls, fpr, tpr, lag(fpr) OVER (PARTITION BY cls ORDER BY fpr, tpr)
 q AS (SELECT CAST(cls AS INTEGER) AS cls, round(sum(coalesce((fpr - px) * (tpr + py) / 2, 0.0)), {R6}) AS auc
       FROM a0 GROUP BY cls)
 SELECT * FROM q""")
+
+
+# --- expansion and ANOVA -----------------------------------------------------
+
+EXPAND_CTES = """
+mrl AS (SELECT id, label, split, CAST(unnest(range(len(features))) AS INTEGER) AS i, unnest(features) AS x FROM mr),
+pr AS (
+  SELECT a.id, a.label, a.split, a.i, b.i AS j, a.x AS xa, b.x AS xb,
+         CAST(a.i * (2 * 64 - a.i - 1) // 2 + b.i - a.i - 1 AS INTEGER) AS p
+  FROM mrl a JOIN mrl b ON a.id = b.id AND a.split = b.split AND a.i < b.i),
+ex_orig AS (SELECT id, label, split, i AS feature_id, x AS value FROM mrl),
+ex_plus AS (SELECT id, label, split, 64 + 4 * p + 0 AS feature_id, xa + xb AS value FROM pr),
+ex_minus AS (SELECT id, label, split, 64 + 4 * p + 1 AS feature_id, xa - xb AS value FROM pr),
+ex_div AS (SELECT id, label, split, 64 + 4 * p + 2 AS feature_id,
+                  CASE WHEN xb + 1e-6 = 0 THEN NULL ELSE xa / (xb + 1e-6) END AS value FROM pr),
+ex_mul AS (SELECT id, label, split, 64 + 4 * p + 3 AS feature_id, xa * xb AS value FROM pr),
+ex_all AS (SELECT * FROM ex_orig UNION ALL SELECT * FROM ex_plus UNION ALL SELECT * FROM ex_minus
+           UNION ALL SELECT * FROM ex_div UNION ALL SELECT * FROM ex_mul)
+"""
+
+
+def _moments_sql(src: str) -> str:
+    return w(EXPAND_CTES.strip() + f""",
+q AS (SELECT CAST(feature_id AS INTEGER) AS feature_id, count(value) AS n, round(avg(value), {R6}) AS mean,
+             round(stddev_pop(value), {R6}) AS std FROM {src} GROUP BY feature_id)
+SELECT * FROM q""")
+
+
+PAIR_FEATURES = _moments_sql("(SELECT * FROM ex_plus UNION ALL SELECT * FROM ex_minus UNION ALL SELECT * FROM ex_div)")
+INTERACTION_FEATURES = _moments_sql("ex_mul")
+EXPAND_ALL = _moments_sql("ex_all")
+
+ANOVA_CTES = """
+tr AS (SELECT * FROM ex_all WHERE split = 'train_balanced'),
+bad AS (SELECT DISTINCT feature_id FROM tr WHERE value IS NULL),
+aper AS (SELECT feature_id, label, count(*) AS nk, sum(value) AS sk, sum(value * value) AS qk FROM tr GROUP BY feature_id, label),
+atot AS (SELECT feature_id, CAST(sum(nk) AS DOUBLE) AS n, count(*) AS k, sum(sk) AS s, sum(qk) AS q, sum(sk * sk / nk) AS sb
+        FROM aper GROUP BY feature_id),
+fs AS (
+  SELECT feature_id,
+    CASE WHEN ((q - s * s / n) - (sb - s * s / n)) / (n - k) = 0 THEN NULL
+         ELSE ((sb - s * s / n) / (k - 1)) / (((q - s * s / n) - (sb - s * s / n)) / (n - k)) END AS f
+  FROM atot WHERE feature_id NOT IN (SELECT feature_id FROM bad))
+"""
+
+ANOVA_F = w(EXPAND_CTES.strip() + ",\n" + ANOVA_CTES.strip() + f""",
+q AS (SELECT CAST(feature_id AS INTEGER) AS feature_id, round(f, {R6}) AS f FROM fs)
+SELECT * FROM q""")
+
+ANOVA_TOPK = w(EXPAND_CTES.strip() + ",\n" + ANOVA_CTES.strip() + f""",
+ranked AS (SELECT *, row_number() OVER (ORDER BY f DESC NULLS LAST, feature_id DESC) AS rn FROM fs),
+q AS (SELECT CAST(feature_id AS INTEGER) AS feature_id, round(f, {R6}) AS f FROM ranked WHERE rn <= 1000)
+SELECT * FROM q""")
