@@ -134,12 +134,7 @@ def clean_wafers(raw: DataFrame) -> DataFrame:
 
 def row_strings(df: DataFrame, map_col: str) -> DataFrame:
     """Long form of a map for checking: one row per map row, the row's cells
-    as a digit string."""
-    return df.select(
-        "wafer_id",
-        F.posexplode(map_col).alias("r", "row"),
-    ).select(
-        "wafer_id",
-        F.col("r").cast("int").alias("r"),
-        F.expr("array_join(transform(row, x -> CAST(x AS STRING)), '')").alias("cells"),
-    )
+    as a digit string (structs built inside the row, exploded once)."""
+    rows = F.expr(f"transform({map_col}, (row, r) -> named_struct('r', r, "
+                  f"'cells', array_join(transform(row, x -> CAST(x AS STRING)), '')))")
+    return df.select("wafer_id", F.inline(rows))
