@@ -82,11 +82,15 @@ def median2x2_expr(map_col: str = "waferMap") -> F.Column:
     def shifted(a: str) -> str:   # [a0, a0, a1, ..., a(n-2)]
         return f"concat(slice({a}, 1, 1), slice({a}, 1, size({a}) - 1))"
 
+    # third smallest of {a, b, c, d} = greatest(least(max(a,b), max(c,d)), min(a,b), min(c,d)):
+    # native comparisons, no sort
+    third = ("greatest(least(greatest(p[0], p[1]), greatest(q[0], q[1])), least(p[0], p[1]), "
+             "least(q[0], q[1]))")
     return F.expr(
         f"zip_with({m}, {shifted(m)}, (row, urow) -> "
         f"zip_with(zip_with(row, {shifted('row')}, (x, y) -> array(x, y)), "
         f"zip_with(urow, {shifted('urow')}, (x, y) -> array(x, y)), "
-        f"(p, q) -> element_at(array_sort(concat(p, q)), 3)))"
+        f"(p, q) -> {third}))"
     )
 
 

@@ -38,7 +38,7 @@ def header_sql(dialect: str = "spark") -> dict[str, str]:
 
 
 def cell_sql(dialect: str = "spark", r: str = "r", c: str = "c", h: str = "h", w: str = "w",
-             k: str = "k", wid: str = "wafer_id") -> str:
+             k: str = "k", wid: str = "wafer_id", d_expr: str | None = None, s_expr: str | None = None) -> str:
     """Cell value 0/1/2 of the derived wafer at (r, c) as one SQL expression.
 
     D <= S is the inside of the disc; inside, a cell is a defect when the class
@@ -46,6 +46,8 @@ def cell_sql(dialect: str = "spark", r: str = "r", c: str = "c", h: str = "h", w
     div = _div(dialect)
     d = f"(({2}*{r}-{h}+1)*({2}*{r}-{h}+1)*{w}*{w} + ({2}*{c}-{w}+1)*({2}*{c}-{w}+1)*{h}*{h})"
     s = f"({h}*{h}*{w}*{w})"
+    d = d_expr or d
+    s = s_expr or s
     noise = f"(({r}*31 + {c}*17 + {wid}*13) % 97 = 0)"
     pattern = (
         f"CASE {k} "
@@ -75,7 +77,10 @@ def raw_wafers_from_part(part: DataFrame) -> DataFrame:
     Classes k = p_partkey % 10: 0-7 the eight classes, 8 Near-full, 9 unlabeled
     (empty list).  Narrow: one projection, no shuffle."""
     hdr = header_sql("spark")
-    cell = cell_sql("spark")
+    # the disc terms D and S are computed once per cell and bound to a lambda variable
+    d = "((2*r-h+1)*(2*r-h+1)*w*w + (2*c-w+1)*(2*c-w+1)*h*h)"
+    cell_bound = (f"element_at(transform(array(named_struct('d', {d}, 's', h*h*w*w)), t -> "
+                  f"{cell_sql('spark', d_expr='t.d', s_expr='t.s')}), 1)")
     base = part.select(
         F.expr(hdr["wafer_id"]).alias("wafer_id"),
         F.expr(hdr["h"]).cast("int").alias("h"),
@@ -87,7 +92,7 @@ def raw_wafers_from_part(part: DataFrame) -> DataFrame:
         "h",
         "w",
         F.expr(
-            f"transform(sequence(0, h - 1), r -> transform(sequence(0, w - 1), c -> CAST({cell} AS TINYINT)))"
+            f"transform(sequence(0, h - 1), r -> transform(sequence(0, w - 1), c -> CAST({cell_bound} AS TINYINT)))"
         ).alias("waferMap"),
         F.expr(
             f"CASE WHEN k = 9 THEN CAST(array() AS array<array<string>>) "
