@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import leaderboard as LB
 from ..session import ensure_checkpoint_dir
+from ..operators import models as ML
 from . import bakeoff as BO
 from .ml_queries import model_ready
 
@@ -46,6 +47,66 @@ def q_track_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("shared")))
 
 
+# --- single-model jobs on the 64 scaled base features (L3-L5, L7, L8, L11-L13) ---
+
+def _base(spark: SparkSession, sf_dir: str):
+    mr = model_ready(spark, sf_dir)
+    train = BO.with_folds(mr.where(F.col("split") == "train_balanced").select("id", "label", "features")).cache()
+    test = mr.where(F.col("split") == "test").select("id", "label", "features").cache()
+    return train, test
+
+
+def _fit_row(spark, sf_dir, name: str) -> DataFrame:
+    train, test = _base(spark, sf_dir)
+    make, grid, prep = BO.registry(D, include_boosting=False)[name]
+    tr = prep(train) if prep else train
+    te = prep(test) if prep else test
+    model, best, scores = ML.grid_search(make, grid, tr)
+    res = BO._eval(ML.predict(model, ML.with_vector(te)), ML.predict(model, ML.with_vector(tr)))
+    rows = [("4A_Base", name, *res.values(), str(best))]
+    return spark.createDataFrame(rows, LB.LEADERBOARD_SCHEMA)
+
+
+def q_fit_logreg(spark, sf_dir):
+    return _fit_row(spark, sf_dir, "LogisticReg")
+
+
+def q_fit_tree(spark, sf_dir):
+    return _fit_row(spark, sf_dir, "DecisionTree")
+
+
+def q_fit_forest(spark, sf_dir):
+    return _fit_row(spark, sf_dir, "RandomForest")
+
+
+def q_fit_rbf_svm(spark, sf_dir):
+    return _fit_row(spark, sf_dir, "SVM")
+
+
+def q_lasso_select(spark, sf_dir):
+    """L4 + D8 + I6: base features kept by L1 logistic regression (first 25
+    in column order when fewer than 2 survive)."""
+    train, _ = _base(spark, sf_dir)
+    keep = ML.lasso_support(train)
+    ids = keep if len(keep) >= 2 else list(range(25))
+    return spark.createDataFrame([(int(i),) for i in ids], "feature_idx int")
+
+
+def q_rf_importance(spark, sf_dir):
+    """L3 + I3 + I7: forest importances, ranked; the top 25 are the track."""
+    train, _ = _base(spark, sf_dir)
+    imp = ML.rf_importance(train)
+    order = sorted(range(len(imp)), key=lambda i: (-imp[i], i))
+    rows = [(int(i), float(imp[i]), r + 1, r < 25) for r, i in enumerate(order)]
+    return spark.createDataFrame(rows, "feature_idx int, importance double, rank int, selected boolean")
+
+
+def q_rfe_select(spark, sf_dir):
+    """L2: recursive elimination 64 -> 25 (step 50 caps at the target)."""
+    train, _ = _base(spark, sf_dir)
+    return spark.createDataFrame([(int(i),) for i in ML.rfe(train, 25, 50)], "feature_idx int")
+
+
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/leaderboard-{_key(sf_dir, 'lb')}"
     k = ("lb", sf_dir)
