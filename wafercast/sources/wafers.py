@@ -114,7 +114,13 @@ def read_raw_wafers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    """The two ``part`` columns the wafer fixture needs, hash-partitioned by
+    key.  ``part`` is a small table (often one file, one split), while each of
+    its rows expands into a whole wafer map and all per-wafer work; spreading
+    the rows over ``spark.sql.shuffle.partitions`` tasks first makes that work
+    parallel, and the partitioning on the wafer key carries through."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size").repartition(n, "p_partkey")
 
 
 def raw_wafers(spark: SparkSession, sf_dir: str) -> DataFrame:
