@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality, sharding
+from . import exact_dedup, packing, quality, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": token_counts.op1_token_counts,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_kd_sharding": sharding.op10_kd_sharding,
     }
