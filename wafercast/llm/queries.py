@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, quality, sharding, token_counts
+from . import exact_dedup, near_dedup, packing, quality, sharding, suffix_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
         "op2_minhash_dedup": near_dedup.op2_minhash_dedup,
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op9_quality_rules": quality.op9_quality_rules,
