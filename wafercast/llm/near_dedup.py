@@ -386,5 +386,15 @@ def near_groups(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
         "kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
+def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, rows
+    unchanged.  Rows of one doc_id stay or go together, and stay if any does;
+    rows without doc_id stay."""
+    groups = near_groups(docs, k, threshold).where("doc_id is not null")
+    gone = (groups.groupBy("doc_id").agg(F.max("kept").alias("_x_kept")).where("not _x_kept")
+            .select(F.col("doc_id").alias("_x_id")))
+    return docs.join(gone, docs["doc_id"] == F.col("_x_id"), "left_anti")
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"), k=4, threshold=80)

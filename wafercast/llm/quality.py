@@ -81,20 +81,23 @@ def _repeat_words(words: Column) -> Column:
         F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(covered(hs)))
 
 
-def text_counts(docs: DataFrame) -> DataFrame:
+def text_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """The counts of every row; with ``carry`` also the row itself, as ``_row``."""
+    own = [F.struct(*docs.columns).alias("_row")] if carry else []
+    row = ["_row"] if carry else []
     t = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("none")).alias("stratum"),
-                    text_or_empty().alias("t"))
+                    text_or_empty().alias("t"), *own)
     words = F.array_remove(F.split("t", SPACE + "+"), "")
     squeezed = F.regexp_replace("t", SPACE, "")
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    t = t.select("doc_id", "stratum", squeezed.alias("s"),
+    t = t.select("doc_id", "stratum", *row, squeezed.alias("s"),
                  _bind(words, lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("r"))).alias("w"),
                  _bind(lines, lambda x: F.struct(F.size(x).alias("n"),
                                                  F.size(F.array_distinct(x)).alias("d"))).alias("l"))
     chars = F.char_length("s")
     without = lambda p: chars - F.char_length(F.regexp_replace("s", p, ""))
     return t.select(
-        "doc_id", "stratum", F.col("w.n").cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
+        "doc_id", "stratum", *row, F.col("w.n").cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
         without(r"[#*$%&|<>]").cast("long").alias("n_symbols"),
         (F.col("l.n") - F.col("l.d")).cast("long").alias("n_dup_lines"),
         F.col("w.r").cast("long").alias("n_repeat_words"), F.col("l.n").cast("long").alias("n_lines"),
@@ -164,17 +167,30 @@ def _all():
     return Window.partitionBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+def judge(counts: DataFrame, cut: DataFrame) -> DataFrame:
+    """``counts`` with base_failed and kept; ``cut`` has a few rows a language."""
+    wide = cut.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
+    wide = wide.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in RULES])
+    judged = counts.join(F.broadcast(wide), F.col("stratum") == F.col("_stratum"), "left")
+    over = F.lit(False)
+    for rule, (score, _) in RULES.items():
+        over = over | F.coalesce(F.expr(f"case when n_words > 0 then {score} > _cut_{rule} end"), F.lit(False))
+    return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~over)
+
+
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, the counts, base_failed, kept."""
     counts = shared_table(text_counts(docs), "counts")
     cut = shared_table(thresholds(counts, labels), "cutoffs")
-    wide = cut.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
-    judged = counts.join(F.broadcast(wide), "stratum", "left")   # one row a language
-    over = F.lit(False)
-    for rule, (score, _) in RULES.items():
-        over = over | F.coalesce(F.expr(f"case when n_words > 0 then {score} > `{rule}` end"), F.lit(False))
-    return judged.select("doc_id", *COUNTS, base_failed().alias("base_failed"),
-                         (~base_failed() & ~over).alias("kept"))
+    return judge(counts, cut).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged.  The texts are read a
+    second time rather than shuffled against the verdicts."""
+    counts = shared_table(text_counts(docs), "counts")
+    cut = shared_table(thresholds(counts, labels), "cutoffs")
+    return judge(text_counts(docs, carry=True), cut).where("kept").select("_row.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

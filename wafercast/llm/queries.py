@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, quality, sharding, suffix_dedup, token_counts
+from . import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality, sharding, suffix_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
+        "op6_mixing": mixing.op6_mixing,
+        "op7_line_runs": line_dedup.op7_line_runs,
+        "op8_language_id": language_id.op8_language_id,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_kd_sharding": sharding.op10_kd_sharding,
     }
@@ -24,5 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
+        "op6_mixing": mixing.ORACLE,
+        "op7_line_runs": line_dedup.ORACLE,
         "op9_quality_rules": quality.ORACLE,
     }
