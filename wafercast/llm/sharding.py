@@ -7,11 +7,11 @@ dimension until a leaf is at the target bytes.  A dimension's ties, such as
 one source that holds a third of the rows, are split by a hash of the row, so
 halves are equal down to a few documents even when a whole node has one value.
 
-The medians are distributed: a histogram of bytes over the quantised
-coordinate finds the value in which half lies, and a second one over the tie
-hash, of that value's rows only, finds the place inside it.  Both histograms
-are pre-aggregated and have at most 2**16 and 2**20 entries a node; the driver
-sees one cut a node.  No row moves before the ranks inside shards.
+The medians are distributed: a row's key is its coordinate and then its tie
+hash, in ``DIGITS`` digits of 12 bits.  A histogram of bytes over one digit, of
+the rows that share the digits found so far, finds the digit in which half
+lies; so three histograms, pre-aggregated and of at most 4,096 entries a node,
+give the cut of every node of a level.  Rows move only for the ranks in shards.
 
 The law is ``bytes``: shard sizes are near equal.  Edge cases: a null text has
 no bytes (size 1, crc 0); null language or source is a value of its own;
@@ -28,15 +28,15 @@ from pyspark.sql import functions as F
 
 from .common import hash_rank, read_table, shared_table, text_or_empty
 
-COORD_BITS = 16
-TIE_BITS = 20
+BITS = 12
+DIGITS = 3
 DIMS = ("c_lang", "c_source", "c_size")
 SHARDS = 16
 
 
 def _unit_hash(col: Column) -> Column:
     """A value's place in [0, 1), null included."""
-    return F.pmod(F.xxhash64(F.coalesce(col, F.lit("\u0000none"))), F.lit(1 << COORD_BITS)).cast("int")
+    return F.pmod(F.xxhash64(F.coalesce(col, F.lit("\u0000none"))), F.lit(1 << BITS)).cast("int")
 
 
 def metadata(docs: DataFrame) -> DataFrame:
@@ -44,71 +44,55 @@ def metadata(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
                        F.col("lang").cast("string").alias("l"), F.col("source").cast("string").alias("s"))
-    top = (1 << COORD_BITS) - 1
+    top = (1 << BITS) - 1
     log_size = F.least(F.lit(top), F.floor(F.log2(F.col("size").cast("double")) / 31 * top)).cast("int")
     return base.select("doc_id", "size", "text_crc32", _unit_hash(F.col("l")).alias("c_lang"),
                        _unit_hash(F.col("s")).alias("c_source"), log_size.alias("c_size"),
                        F.xxhash64("doc_id", "text_crc32", "size").alias("h"))
 
 
-def _tie() -> Column:
-    return F.pmod(F.xxhash64("h", F.lit("tie")), F.lit(1 << TIE_BITS)).cast("int")
-
-
-def assign(meta: DataFrame, cuts: list[dict[int, tuple[str, int, int]]]) -> DataFrame:
-    """Adds ``_node``, the leaf of a row: each level appends 0 (at or below its
-    node's cut) or 1.  Narrow: the cuts are literals of the expression."""
-    out = meta.withColumn("_node", F.lit(0))
-    for level in cuts:
-        right = F.lit(0)
-        for parent, (dim, coord, within) in level.items():
-            above = (F.col(dim) > coord) | ((F.col(dim) == coord) & (_tie() > within))
-            right = F.when(F.col("_node") == parent, above.cast("int")).otherwise(right)
-        out = out.withColumn("_node", F.col("_node") * 2 + right)
+def _by_node(values: dict[int, object]) -> Column:
+    out = F.lit(None)
+    for node, v in values.items():
+        out = F.when(F.col("node") == node, F.col(v) if isinstance(v, str) else F.lit(v)).otherwise(out)
     return out
 
 
-def _boundary(hist: DataFrame, key: str) -> list:
-    """Per node the first ``key`` at which the running weight reaches its goal."""
-    w = "partition by _node order by " + key
-    run = hist.withColumn("upto", F.expr(f"sum(b) over ({w} rows between unbounded preceding and current row)"))
-    hit = run.where("upto >= goal").groupBy("_node").agg(
-        F.min(F.struct(key, "upto", "b")).alias("at"))
-    return hit.select("_node", f"at.{key}", "at.upto", "at.b").collect()   # one row a node
-
-
-def split_level(nodes: DataFrame) -> dict[int, tuple[str, int, int]]:
-    """The cut of every node: (dimension, coordinate, tie); rows at or below go left."""
-    stats = nodes.groupBy("_node").agg(F.sum("size").alias("b"), *[
-        f(d).alias(f"{d}_{n}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]).collect()
-    if not stats:
-        return {}
-    widest, total = {}, {}
-    for r in stats:
-        widest[r["_node"]] = max(DIMS, key=lambda d: (r[f"{d}_hi"] - r[f"{d}_lo"], -DIMS.index(d)))
-        total[r["_node"]] = r["b"]
-    coord = F.lit(None).cast("int")
-    goal = F.lit(None).cast("double")
-    for n, d in widest.items():
-        coord = F.when(F.col("_node") == n, F.col(d)).otherwise(coord)
-        goal = F.when(F.col("_node") == n, F.lit(total[n] / 2)).otherwise(goal)
-    placed = nodes.withColumn("coord", coord)
-    coarse = placed.groupBy("_node", "coord").agg(F.sum("size").alias("b")).withColumn("goal", goal)
-    at = {r["_node"]: r for r in _boundary(coarse, "coord")}
-    inside, rest = F.lit(False), F.lit(None).cast("double")
-    for n, r in at.items():
-        inside = inside | ((F.col("_node") == n) & (F.col("coord") == r["coord"]))
-        rest = F.when(F.col("_node") == n, F.lit(total[n] / 2 - (r["upto"] - r["b"]))).otherwise(rest)
-    fine = (placed.where(inside).withColumn("tie", _tie()).groupBy("_node", "tie")
-            .agg(F.sum("size").alias("b")).withColumn("goal", rest))
-    cuts = {}
-    for r in _boundary(fine, "tie"):
-        n = r["_node"]
-        goal_left = total[n] / 2 - (at[n]["upto"] - at[n]["b"])
-        # the entry that crosses the goal goes to the side that ends nearer to half
-        over, under = r["upto"] - goal_left, goal_left - (r["upto"] - r["b"])
-        cuts[n] = (widest[n], at[n]["coord"], r["tie"] if over <= under else r["tie"] - 1)
-    return cuts
+def _key(widest: dict[int, str]) -> Column:
+    """Coordinate of the node's widest dimension, then the tie hash."""
+    ties = (DIGITS - 1) * BITS
+    tie = F.pmod(F.xxhash64("h", F.lit("tie")), F.lit(1 << ties))
+    return (_by_node(widest).cast("long") * (1 << ties) + tie).cast("long")
+
+
+def find_cuts(nodes: DataFrame) -> tuple[dict[int, str], dict[int, int]]:
+    """Per node its widest dimension and the largest key that goes left."""
+    stats = nodes.groupBy("node").agg(F.sum("size").alias("b"), *[
+        f(d).alias(f"{d}_{n}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]).collect()   # a row a node
+    widest = {r["node"]: max(DIMS, key=lambda d: (r[f"{d}_hi"] - r[f"{d}_lo"], -DIMS.index(d))) for r in stats}
+    goal = {r["node"]: r["b"] / 2 for r in stats}
+    found = {n: 0 for n in goal}
+    if not goal:
+        return {}, {}
+    keyed = nodes.withColumn("key", _key(widest))
+    for digit in range(DIGITS):
+        down = (DIGITS - 1 - digit) * BITS
+        rows = keyed if digit == 0 else keyed.where(
+            F.shiftright("key", down + BITS) == _by_node(found).cast("long"))
+        hist: dict[int, list[tuple[int, int]]] = {}
+        for r in (rows.groupBy("node", F.shiftright("key", down).alias("k")).agg(F.sum("size").alias("b"))
+                  .collect()):                                         # 2**BITS rows a node
+            hist.setdefault(r["node"], []).append((r["k"], r["b"]))
+        for n, entries in hist.items():
+            for k, b in sorted(entries):
+                if b >= goal[n] or k == max(entries)[0]:
+                    found[n] = k
+                    break
+                goal[n] -= b
+            if digit == DIGITS - 1:
+                # the entry that crosses half goes to the side that ends nearer to it
+                found[n] = k if b - goal[n] <= goal[n] else k - 1
+    return widest, found
 
 
 def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:
@@ -124,10 +108,13 @@ def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int |
         depth = int(math.log2(shards))
         if 1 << depth != shards:
             raise ValueError("shards must be a power of two")
-    cuts: list[dict[int, tuple[str, int, int]]] = []
+    nodes = meta.withColumn("node", F.lit(0))
     for _ in range(depth):
-        cuts.append(split_level(assign(meta, cuts)))
-    leaves = assign(meta, cuts).withColumnRenamed("_node", "shard")
+        widest, cut = find_cuts(nodes)
+        right = (_key(widest) > _by_node(cut).cast("long")).cast("int") if cut else F.lit(0)
+        # written: the next level's expressions stay small
+        nodes = shared_table(nodes.withColumn("node", F.col("node") * 2 + right), "nodes")
+    leaves = nodes.withColumnRenamed("node", "shard")
     ranked = hash_rank(leaves, "shard", [F.col("h"), F.col("doc_id"), F.col("text_crc32")], "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                          F.col("shard").cast("int").alias("shard"), "slot",
