@@ -3,7 +3,7 @@
 Texts are equal when identical after deleting white space (0x20, 0x09-0x0D).
 
 * Digest: one read of the texts leaves (doc_id, sha-256 of the normalised
-  text, code points, 64-bit hash) in the shared folder.
+  text, code points, 64-bit hash, row number) in the shared folder.
 * Pass 1, filter: every hash sets ``HASHES`` slots of a counting Bloom
   filter; slots hit by two rows or more are packed into 64-bit words.
 * Pass 2: a row can only be repeated if all its slots are hit twice.  Those
@@ -42,7 +42,7 @@ def digests(docs: DataFrame) -> DataFrame:
     squeezed = docs.select("doc_id", text_or_empty().alias("t")).select(
         "doc_id", F.char_length("t").alias("n_points"), F.regexp_replace("t", SPACE, "").alias("s"))
     return squeezed.select("doc_id", "n_points", F.sha2("s", 256).alias("text_sha256"),
-                           F.xxhash64("s").alias("h"))
+                           F.xxhash64("s").alias("h"), F.monotonically_increasing_id().alias("row"))
 
 
 def slot_count(rows: int) -> int:
@@ -86,32 +86,36 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
 
-    maybe = marked.where("possible").select("doc_id", "n_points", "text_sha256")
+    maybe = marked.where("possible").select("doc_id", "n_points", "text_sha256", "row")
     best = F.min(F.struct((-F.col("n_points")).alias("neg"), F.col("doc_id").isNull().alias("no_id"),
-                          F.col("doc_id").alias("id"))).alias("best")
-    groups = maybe.groupBy("text_sha256").agg(best, F.count(F.lit(1)).cast("long").alias("group_size"))
-    same = Window.partitionBy("text_sha256", "doc_id").orderBy(F.desc("n_points"))
+                          F.col("doc_id").alias("id"), "row")).alias("best")
+    # written, so that the join below has plain exchanges, which skew handling can split
+    groups = shared_table(maybe.groupBy("text_sha256")
+                          .agg(best, F.count(F.lit(1)).cast("long").alias("group_size")), "groups")
     grouped = (maybe.join(groups, "text_sha256")
-               .withColumn("copy", F.row_number().over(same))
                .select("doc_id", F.col("best.id").alias("keep_id"), "group_size",
-                       (F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("copy") == 1)).alias("kept"),
-                       "text_sha256"))
+                       (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256"))
     return single.unionByName(grouped)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are not kept, all columns unchanged.
 
-    The dropped rows' ids (repeated texts only) are joined against the
-    documents; a doc_id whose row is kept once and dropped once keeps the
-    row with the longest text."""
-    verdict = exact_groups(docs)
-    gone = verdict.where(~F.col("kept")).select("doc_id", "text_sha256").distinct()
-    stays = verdict.where("kept").select("doc_id", "text_sha256")
-    gone = gone.join(stays, ["doc_id", "text_sha256"], "left_anti")
+    Only (doc_id, digest) pairs of repeated texts are joined to the documents.
+    Of a doc_id that lists one text more than once, the longest row stays."""
+    repeated = exact_groups(docs).where("group_size > 1")
+    flags = (repeated.groupBy("doc_id", "text_sha256")
+             .agg(F.max("kept").alias("_x_stays"), F.count(F.lit(1)).alias("_x_n"))
+             .where("not _x_stays or _x_n > 1")
+             .withColumnsRenamed({"doc_id": "_x_id", "text_sha256": "_x_digest"}))
     key = F.sha2(F.regexp_replace(text_or_empty(), SPACE, ""), 256)
-    gone = gone.select(F.col("doc_id").alias("_x_id"), F.col("text_sha256").alias("_x_sha"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_x_id")) & (key == F.col("_x_sha")), "left_anti")
+    joined = docs.withColumn("_x_sha", key).join(
+        flags, F.col("doc_id").eqNullSafe(F.col("_x_id")) & (F.col("_x_sha") == F.col("_x_digest")), "left")
+    plain = joined.where("_x_stays is null").select(*docs.columns)
+    first = Window.partitionBy("doc_id", "_x_sha").orderBy(F.desc(F.char_length(text_or_empty())), "text")
+    listed = (joined.where("_x_stays").withColumn("_x_k", F.row_number().over(first))
+              .where("_x_k = 1").select(*docs.columns))
+    return plain.unionByName(listed)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
