@@ -4,9 +4,13 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from wafercast.functions.constants import MODEL_ORDER
 from wafercast.operators import expand as X
+from wafercast.operators import knn as K
 from wafercast.operators import leaderboard as LB
+from wafercast.operators import metrics as M
 from wafercast.operators import sampling as S
+from wafercast.operators.moments import expanded_moments, width
 from wafercast.operators.scale import ScalerModel, scaler_fit
 from wafercast.sources.features import embedding_matrix
 
@@ -52,6 +56,62 @@ def test_expansion_reference_example(spark):
     assert long[dim["A B"]] == 20.0
 
 
+def test_moments_equal_the_expanded_rows(spark):
+    rows = [(i, i % 2, [float(i), (i * 7) % 5 - 1e-6 * (i % 3 == 0), 0.5 * i * i]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>").repartition(3)
+    long = X.expand_long(df, 3).groupBy("label", "feature_id").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
+    want = {(r["label"], r["feature_id"]): r for r in long.collect()}
+    got = expanded_moments(df, group="label").collect()
+    assert len(got) == len(want) == 2 * (3 + 4 * 3)
+    for r in got:
+        w = want[(r["grp"], r["feature_id"])]
+        assert r["n"] == w["n"] and r["mean"] == pytest.approx(w["mean"], rel=1e-9)
+        assert r["m2"] == pytest.approx(w["var"] * w["n"], rel=1e-9, abs=1e-9)
+    with pytest.raises(ValueError):
+        width(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "features array<double>"))
+
+
+def test_small_variance_is_still_scaled(spark):
+    df = spark.createDataFrame([(i, 0, [1e-8 * (i % 2)]) for i in range(6)], "id long, label int, features array<double>")
+    assert ScalerModel(scaler_fit(df)).std[0] == pytest.approx(0.5e-8)
+
+
+def test_roc_with_an_absent_class_and_ranges(spark):
+    rows = [(i, i % 2, {0: 1 - s, 1: s}) for i, s in enumerate([0.1, 0.9, 0.35, 0.35, 0.8, 0.4, 0.4, 0.999, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, label int, share map<int,double>")
+    auc = {r["cls"]: r["auc"] for r in M.auc(df, [0, 1, 2]).collect()}
+    pos, neg = [r[2][1] for r in rows if r[1] == 1], [r[2][1] for r in rows if r[1] == 0]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert auc[1] == pytest.approx(want) and auc[0] == pytest.approx(want) and auc[2] is None
+    pts = M.roc_points(df, [0, 1, 2]).collect()
+    for c in (0, 1):
+        xy = sorted((r["fpr"], r["tpr"]) for r in pts if r["cls"] == c)
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(xy, xy[1:]))
+        assert xy[0] == (0, 0) and xy[-1] == (1, 1) and area == pytest.approx(want)
+    assert {r["tpr"] for r in pts if r["cls"] == 2} == {0.0, None}
+
+
+def test_dense_confusion(spark):
+    df = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (3, 2, 0)], "id long, label int, prediction int")
+    got = {(r["label"], r["prediction"]): r["n"] for r in M.dense_confusion(df).collect()}
+    assert len(got) == 9 and sum(got.values()) == 3 and got[(0, 1)] == 1 and got[(1, 2)] == 0
+
+
+def test_knn_spreads_one_block(spark):
+    """One block of train rows is no hot key: query rows meet it under several salts."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(400).select("id", (F.col("id") % 3).cast("int").alias("label"),
+                                   F.array(F.col("id").cast("double"), F.lit(1.0)).alias("features"))
+    one = K.neighbours(rows, rows, 3)
+    many = K.neighbours(rows, rows, 3, block_rows=50)
+    a = {r["qid"]: [x["id"] for x in r["nn"]] for r in one.collect()}
+    assert a == {r["qid"]: [x["id"] for x in r["nn"]] for r in many.collect()}
+    assert all(a[i][0] == i for i in a)
+    salts = rows.select(F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(n)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == n and max(r["count"] for r in salts) < 2 * 400 / n
+
+
 def test_expansion_size_for_66(spark):
     names = [f"f{i}" for i in range(66)]
     assert X.expansion_dim(spark, names).count() == 66 + 4 * 2145 == 8646
@@ -60,7 +120,7 @@ def test_expansion_size_for_66(spark):
 def _lb(spark):
     rows = []
     tracks = ["4B_RFE", "4C_RF_Importance", "4D_Lasso"]
-    models = ["SVM", "LogisticReg", "KNN", "GradBoosting", "XGBoost", "RandomForest", "DecisionTree"]
+    models = MODEL_ORDER
     v = 0.40
     for t in tracks:
         for m in models:

@@ -1,10 +1,10 @@
-"""One-way ANOVA F per feature on long-form data, and the top-k
-pre-filter.
+"""One-way ANOVA F per feature from per-class moments, and the
+top-k pre-filter.
 
-Two aggregates: ``(feature_id, label) -> n, sum, sum of squares`` (partial
-aggregation map-side), then ``feature_id -> F`` with the same sums-of-squares
-formulas as the classic f_classif.  Scales with the number of features
-because nothing is ever a wide row."""
+``moments`` holds one (n, mean, M2) per class and feature
+(:func:`wafercast.operators.moments.expanded_moments`).  The spread between
+classes comes from the class means, the spread within from the M2; both are
+centred, so no large sums are subtracted."""
 
 from __future__ import annotations
 
@@ -14,30 +14,22 @@ from pyspark.sql import functions as F
 from ..functions.constants import N_PREFILTER
 
 
-def anova_f(long: DataFrame) -> DataFrame:
-    """(feature_id, f): F = (SSB / (k - 1)) / (SSW / (n - k)); NULL when
-    undefined (a feature with any NULL value is dropped from scoring)."""
-    bad = long.where(F.col("value").isNull()).select("feature_id").distinct()
-    per = long.groupBy("feature_id", "label").agg(
-        F.count(F.lit(1)).alias("nk"), F.sum("value").alias("sk"), F.sum(F.col("value") * F.col("value")).alias("qk"))
-    tot = per.groupBy("feature_id").agg(
-        F.sum("nk").alias("n"), F.count(F.lit(1)).alias("k"), F.sum("sk").alias("s"), F.sum("qk").alias("q"),
-        F.sum(F.col("sk") * F.col("sk") / F.col("nk")).alias("sb"))
-    n = F.col("n").cast("double")
-    sstot = F.col("q") - F.col("s") * F.col("s") / n
-    ssbn = F.col("sb") - F.col("s") * F.col("s") / n
-    sswn = sstot - ssbn
-    msb = ssbn / (F.col("k") - 1)
-    msw = sswn / (F.col("n") - F.col("k"))
-    out = tot.select("feature_id", F.try_divide(msb, msw).alias("f"))
-    return out.join(bad, "feature_id", "left_anti")
+def anova_f(moments: DataFrame) -> DataFrame:
+    """(feature_id, f); NULL when undefined.  A feature with any undefined
+    value is not scored."""
+    grand = moments.groupBy("feature_id").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"), F.sum("n").alias("rows"),
+        F.count(F.lit(1)).alias("classes"), F.sum("n_null").alias("undefined")).where("undefined = 0")
+    off = F.col("mean") - F.col("centre")
+    spread = (moments.join(grand, "feature_id").groupBy("feature_id", "rows", "classes")
+              .agg(F.sum(F.col("n") * off * off).alias("between"), F.sum("m2").alias("within")))
+    return spread.select("feature_id", F.try_divide(
+        F.try_divide("between", F.col("classes") - 1), F.try_divide("within", F.col("rows") - F.col("classes"))).alias("f"))
 
 
 def top_k(scores: DataFrame, k: int = N_PREFILTER) -> DataFrame:
-    """I4: the k best F (NULL last, ties to the later feature) when there are
-    more than k features, else all; survivors keep feature order.  A top-k
-    is the feature here; the limit is the operator."""
-    if scores.count() <= k:
-        return scores
+    """I4: the k best F (NULL last, ties to the later feature), all if there
+    are no more than k; survivors keep feature order.  A top-k is the feature
+    here; the limit is the operator."""
     best = scores.orderBy(F.col("f").desc_nulls_last(), F.col("feature_id").desc()).limit(k)
     return best.orderBy("feature_id")

@@ -56,18 +56,28 @@ def smote(train: DataFrame, target: int = TARGET_PER_CLASS, k: int = SMOTE_K) ->
                       feats.alias("features"), F.lit(True).alias("is_synthetic"))
 
 
-def can_oversample(train: DataFrame, target: int = TARGET_PER_CLASS, k: int = SMOTE_K) -> bool:
-    """K3 guard: every class to oversample needs at least k + 1 rows.  One
-    boolean comes back to the driver."""
-    bad = train.where((F.col("n_train") < target) & (F.col("n_train") < k + 1)).limit(1).count()
-    return bad == 0
+def class_sizes(train: DataFrame) -> list[int]:
+    """Train rows of each class, ascending (one number a class)."""
+    return sorted(r["n_train"] for r in train.select("label", "n_train").distinct().collect())
 
 
-def balance(train: DataFrame, target: int = TARGET_PER_CLASS, k: int = SMOTE_K) -> DataFrame:
+def median_size(sizes: list[int]) -> int:
+    """The (lower) median class size: the target with which both branches of
+    the hybrid step have work, whatever the data."""
+    return sizes[(len(sizes) - 1) // 2] if sizes else 0
+
+
+def can_oversample(sizes: list[int], target: int = TARGET_PER_CLASS, k: int = SMOTE_K) -> bool:
+    """K3 guard: every class to oversample needs at least k + 1 rows."""
+    return all(n >= min(target, k + 1) for n in sizes)
+
+
+def balance(train: DataFrame, target: int = TARGET_PER_CLASS, k: int = SMOTE_K,
+            sizes: list[int] | None = None) -> DataFrame:
     """K3 + J1: undersampled/kept real rows union synthetic rows; falls back
     to the imbalanced rows when SMOTE cannot run."""
     real = train.select("id", "label", "features", F.lit(False).alias("is_synthetic"))
-    if not can_oversample(train, target, k):
+    if not can_oversample(class_sizes(train) if sizes is None else sizes, target, k):
         return real
     kept = (train.where((F.col("n_train") <= target) | (F.col("trk") <= target))
             .select("id", "label", "features", F.lit(False).alias("is_synthetic")))

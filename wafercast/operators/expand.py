@@ -77,9 +77,3 @@ def project(df: DataFrame, chosen: list[tuple[int, str, int, int]], features: st
         a = F.element_at(features, i + 1)
         cols.append(a if op == "ID" else _op_value(op, a, F.element_at(features, j + 1)))
     return df.withColumn(features, F.array(*cols))
-
-
-def feature_moments(long: DataFrame) -> DataFrame:
-    """Per expanded feature: count of non-null values, mean, population std."""
-    return long.groupBy("feature_id").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))

@@ -1,12 +1,14 @@
 """G9 + L6: exact k-nearest-neighbour classification, blocked.
 
-Train rows are dealt into B blocks of at most ``block_rows`` rows (B from a
-count, so a block's size is bounded however large the train set is).  Each
-block becomes one array; every query row is paired with every block id (an
-equi-join on the block key -- the query side is replicated B times, never
-n_train times), keeps its k nearest inside each block with one array sort,
-and the per-block candidates (B x k per query row) are merged by a final
-group on the query id.  No (query, train) pair rows are ever emitted.
+Train rows are dealt into B blocks of at most about ``block_rows`` rows (B
+from a count, so a block's size is bounded however large the train set is).
+Each block becomes one array.  Query rows carry a salt; they meet every block
+by an equi-join on (block, salt), so the work is spread over blocks x salts
+tasks and no block is a hot key, even when there is only one.  A query row is
+replicated B times and a block once per salt, never rows by rows.  Each query
+row keeps its k nearest inside each block with one array sort, and the
+per-block candidates (B x k per query row) are merged by a final group on the
+query id.  No (query, train) pair rows are ever emitted.
 
 Prediction is the majority vote of the k neighbours (ties to the smaller
 label); ``share`` holds each class's vote fraction (the probability used for
@@ -31,17 +33,19 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, block_rows: int = BLO
     """(qid, nn array<struct<d, id, label>>) with the k nearest train rows."""
     n = train.count()
     blocks = max(1, math.ceil(n / block_rows))
+    salts = max(1, math.ceil(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")) / blocks))
+    salt_list = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     tb = (train.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-          .groupBy("block").agg(F.collect_list(F.struct("id", "label", "features")).alias("pool")))
+          .groupBy("block").agg(F.collect_list(F.struct("id", "label", "features")).alias("pool"))
+          .select("block", "pool", salt_list.alias("salt")))
     q = query.select(F.col("id").alias("qid"), F.col("features").alias("qf"),
+                     F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(salts)).cast("int").alias("salt"),
                      F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     keep = "filter(t.p, o -> o.id <> t.i)" if exclude_self else "t.p"
     local = (f"element_at(transform(array(named_struct('p', pool, 'f', qf, 'i', qid)), t -> "
              f"slice(array_sort(transform({keep}, o -> named_struct('d', {_dist2('o.features', 't.f')}, "
              f"'id', o.id, 'label', o.label))), 1, {k})), 1)")
-    cand = q.join(tb, "block").select("qid", F.expr(local).alias("nn"))
-    if blocks == 1:
-        return cand
+    cand = q.join(tb, ["block", "salt"]).select("qid", F.expr(local).alias("nn"))
     return cand.groupBy("qid").agg(F.expr(f"slice(array_sort(flatten(collect_list(nn))), 1, {k})").alias("nn"))
 
 

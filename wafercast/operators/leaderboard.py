@@ -33,19 +33,20 @@ def best_per_track(lb: DataFrame) -> DataFrame:
     return lb.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def f1_pivot(spark: SparkSession, lb: DataFrame, tracks: list[str]) -> DataFrame:
+def f1_pivot(spark: SparkSession, lb: DataFrame, tracks: list[str], models: list[str] = MODEL_ORDER) -> DataFrame:
     """F20 + G4: Model x Track test macro F1 in the fixed model order; a
     model that did not run keeps a row of NULLs."""
     piv = lb.groupBy("Model").pivot("Track", tracks).agg(F.first("Test_F1_Macro"))
-    order = spark.createDataFrame([(i, m) for i, m in enumerate(MODEL_ORDER)], "ord int, Model string")
+    order = spark.createDataFrame([(i, m) for i, m in enumerate(models)], "ord int, Model string")
     return order.join(piv, "Model", "left").orderBy("ord").drop("ord")
 
 
-def selection_table(spark: SparkSession, lb: DataFrame, feature_counts: DataFrame) -> DataFrame:
+def selection_table(spark: SparkSession, lb: DataFrame, feature_counts: DataFrame,
+                    info: list[tuple[str, str]] = TRACK_INFO) -> DataFrame:
     """F19 + G3 + C15: per selection track its method, the counted number of
     features and the best test macro F1 (rounded to 3; NULL when the track
     has no result)."""
-    dim = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(TRACK_INFO)],
+    dim = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(info)],
                                 "ord int, Track string, Selection_Method string")
     best = lb.groupBy("Track").agg(F.max("Test_F1_Macro").alias("best"))
     out = dim.join(best, "Track", "left").join(feature_counts, "Track", "left")
@@ -54,14 +55,15 @@ def selection_table(spark: SparkSession, lb: DataFrame, feature_counts: DataFram
         F.col("Feature_Count"), F.bround("best", 3).alias("Best_Model_Macro_F1"))
 
 
-def gap_table(spark: SparkSession, lb: DataFrame) -> DataFrame:
+def gap_table(spark: SparkSession, lb: DataFrame, models: list[str] = GAP_TABLE_MODELS,
+              display: dict[str, str] = MODEL_DISPLAY) -> DataFrame:
     """D7 + C14 + C15: best row of each listed model, display names, train /
     test F1 and gap rounded to 2."""
     w = Window.partitionBy("Model").orderBy(F.desc("Test_F1_Macro"), "Track")
-    best = lb.where(F.col("Model").isin(GAP_TABLE_MODELS)).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-    order = spark.createDataFrame([(i, m) for i, m in enumerate(GAP_TABLE_MODELS)], "ord int, Model string")
+    best = lb.where(F.col("Model").isin(models)).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+    order = spark.createDataFrame([(i, m) for i, m in enumerate(models)], "ord int, Model string")
     name = F.col("Model")
-    for k, v in MODEL_DISPLAY.items():
+    for k, v in display.items():
         name = F.when(F.col("Model") == k, F.lit(v)).otherwise(name)
     return order.join(best, "Model").orderBy("ord").select(
         name.alias("Model"), F.bround("Train_F1_Macro", 2).alias("Train_F1_SMOTE"),

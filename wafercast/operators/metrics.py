@@ -16,6 +16,14 @@ def confusion(pred: DataFrame) -> DataFrame:
     return pred.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+def dense_confusion(pred: DataFrame) -> DataFrame:
+    """(label, prediction, n) for every pair of classes seen in truth or
+    prediction, empty cells with 0.  A square of the few classes."""
+    seen = pred.select("label").union(pred.select("prediction")).distinct()
+    grid = seen.select("label").crossJoin(seen.select(F.col("label").alias("prediction")))
+    return grid.join(confusion(pred), ["label", "prediction"], "left").fillna(0, ["n"])
+
+
 def per_class(pred: DataFrame) -> DataFrame:
     """(cls, tp, fp, fn, support, precision, recall, f1) per class seen."""
     cm = confusion(pred)
@@ -47,7 +55,6 @@ def class_report(pred: DataFrame) -> DataFrame:
     pc = per_class(pred)
     rows = pc.select(F.col("cls").cast("string").alias("row"), "precision", "recall", "f1",
                      F.col("support").alias("support"))
-    n = pc.agg(F.sum("support").alias("n"))
     acc = pc.agg(F.lit("accuracy").alias("row"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), (F.sum("tp") / F.sum("support")).alias("f1"),
                  F.sum("support").alias("support"))
@@ -58,38 +65,64 @@ def class_report(pred: DataFrame) -> DataFrame:
                 (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
                 (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
                 F.sum("support").alias("support"))
-    del n
     return rows.unionByName(acc).unionByName(mac).unionByName(wt)
 
 
-def roc_points(scored: DataFrame, classes: list[int]) -> DataFrame:
-    """H4: one-vs-rest ROC per class from ``share`` (vote fraction).
+SCORE_BUCKETS = 1024
 
-    Rows ``(cls, fpr, tpr)``: the origin, then one point per distinct score
-    in descending order (tied scores collapse into one point); interior
-    points on a straight horizontal or vertical stretch are dropped.  The
-    class list is small (one entry per class) and is exploded per row."""
+
+def tie_groups(scored: DataFrame, classes: list[int]) -> DataFrame:
+    """(cls, bucket, score, p, q, tps, fps, n_pos, n_neg, next_p, next_q): one
+    row per class and distinct score, with its positives and negatives, the
+    running counts down to it, and those of the next lower score.
+
+    A class's scores can be as many as the rows, so nothing is ordered per
+    class: scores in [0, 1] fall into ``SCORE_BUCKETS`` ranges; running counts
+    over that small table give each range its start, and windows run within
+    (class, range)."""
     cl = F.array(*[F.lit(int(c)) for c in classes])
     ex = scored.select("label", "share", F.explode(cl).alias("cls"))
     ex = ex.select("cls", F.coalesce(F.col("share")[F.col("cls")], F.lit(0.0)).alias("score"),
                    (F.col("label") == F.col("cls")).cast("int").alias("pos"))
-    g = ex.groupBy("cls", "score").agg(F.sum("pos").alias("p"), F.sum(1 - F.col("pos")).alias("q"))
-    w = Window.partitionBy("cls").orderBy(F.desc("score"))
-    cum = w.rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("tps", F.sum("p").over(cum)).withColumn("fps", F.sum("q").over(cum))
-    g = (g.withColumn("n_pos", F.sum("p").over(Window.partitionBy("cls")))
-         .withColumn("n_neg", F.sum("q").over(Window.partitionBy("cls"))))
-    keep = (F.lag("tps").over(w).isNull() | F.lead("tps").over(w).isNull()
-            | ((F.lead("tps").over(w) - F.col("tps")) != (F.col("tps") - F.lag("tps").over(w)))
-            | ((F.lead("fps").over(w) - F.col("fps")) != (F.col("fps") - F.lag("fps").over(w))))
-    pts = g.withColumn("_keep", keep).where(F.col("_keep")).select("cls", (F.col("fps") / F.col("n_neg")).alias("fpr"), (F.col("tps") / F.col("n_pos")).alias("tpr"))
-    origin = g.select("cls").distinct().select("cls", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    g = (ex.groupBy("cls", "score").agg(F.sum("pos").alias("p"), F.sum(1 - F.col("pos")).alias("q"))
+         .withColumn("bucket", F.floor(F.col("score") * (SCORE_BUCKETS - 1)).cast("int")))
+    ranges = g.groupBy("cls", "bucket").agg(F.sum("p").alias("bp"), F.sum("q").alias("bq"),
+                                            F.max_by(F.struct("p", "q"), "score").alias("top"))
+    down = Window.partitionBy("cls").orderBy(F.desc("bucket"))
+    above = down.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("cls")
+    ranges = ranges.select(
+        "cls", "bucket", F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("tp0"),
+        F.coalesce(F.sum("bq").over(above), F.lit(0)).alias("fp0"), F.sum("bp").over(every).alias("n_pos"),
+        F.sum("bq").over(every).alias("n_neg"), F.lead("top").over(down).alias("below"))
+    inside = Window.partitionBy("cls", "bucket").orderBy(F.desc("score"))
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    return g.join(ranges, ["cls", "bucket"]).select(
+        "cls", "bucket", "score", "p", "q", (F.col("tp0") + F.sum("p").over(upto)).alias("tps"),
+        (F.col("fp0") + F.sum("q").over(upto)).alias("fps"), "n_pos", "n_neg",
+        F.coalesce(F.lead("p").over(inside), F.col("below.p")).alias("next_p"),
+        F.coalesce(F.lead("q").over(inside), F.col("below.q")).alias("next_q"))
+
+
+def roc_points(scored: DataFrame, classes: list[int]) -> DataFrame:
+    """H4: one-vs-rest ROC per class from ``share`` (vote fraction).
+
+    Rows ``(cls, fpr, tpr)``: the origin, then one point per distinct score
+    (tied scores collapse into one point) but for those in the middle of a
+    straight stretch.  A class without a positive or negative row has NULL
+    rates."""
+    g = tie_groups(scored, classes)
+    first = (F.col("tps") == F.col("p")) & (F.col("fps") == F.col("q"))
+    bend = (F.col("next_p") != F.col("p")) | (F.col("next_q") != F.col("q"))
+    pts = g.where(first | F.col("next_p").isNull() | bend).select(
+        "cls", F.try_divide("fps", "n_neg").alias("fpr"), F.try_divide("tps", "n_pos").alias("tpr"))
+    origin = scored.sparkSession.createDataFrame([(int(c), 0.0, 0.0) for c in classes], "cls int, fpr double, tpr double")
     return origin.unionByName(pts)
 
 
-def auc_from_points(points: DataFrame) -> DataFrame:
-    """H5: trapezoid area under each class's ROC points."""
-    w = Window.partitionBy("cls").orderBy("fpr", "tpr")
-    return (points.withColumn("px", F.lag("fpr").over(w)).withColumn("py", F.lag("tpr").over(w))
-            .groupBy("cls").agg(F.sum(F.coalesce((F.col("fpr") - F.col("px")) * (F.col("tpr") + F.col("py")) / 2,
-                                                 F.lit(0.0))).alias("auc")))
+def auc(scored: DataFrame, classes: list[int]) -> DataFrame:
+    """H5: the share of (positive, negative) pairs in which the positive has
+    the higher score, ties counting half; NULL without either kind."""
+    g = tie_groups(scored, classes)
+    wins = F.sum(F.col("q") * (F.col("tps") - F.col("p") / 2))
+    return g.groupBy("cls").agg(F.try_divide(wins, F.first("n_pos") * F.first("n_neg")).alias("auc"))

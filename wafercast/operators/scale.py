@@ -11,15 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONSTANT_VAR = 10 * 2.220446049250313e-16   # variance below this counts as constant -> scale 1
-
 
 def scaler_fit(train: DataFrame, features: str = "features") -> DataFrame:
     """(feature_idx, mean, std): population std; a constant feature gets 1."""
     long = train.select(F.posexplode(features).alias("feature_idx", "x"))
     agg = long.groupBy("feature_idx").agg(F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
     return agg.select(F.col("feature_idx").cast("int").alias("feature_idx"), "mean",
-                      F.when(F.col("var") < CONSTANT_VAR, F.lit(1.0)).otherwise(F.sqrt("var")).alias("std"))
+                      F.when(F.col("var") == 0, F.lit(1.0)).otherwise(F.sqrt("var")).alias("std"))
 
 
 class ScalerModel:

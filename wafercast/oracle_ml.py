@@ -4,7 +4,7 @@ the Spark side's skew-safe two-level rank; kNN is a pairwise self-join."""
 
 from __future__ import annotations
 
-from .plans.ml_queries import FIXTURE_TARGET, KNN_K
+from .plans.ml_queries import KNN_K
 
 R6 = 6
 TWO52 = "4503599627370496.0"
@@ -41,19 +41,21 @@ lng AS (
   SELECT id, label, split, CAST(unnest(range(len(features))) AS INTEGER) AS feature_idx, unnest(features) AS x FROM sp),
 params AS (
   SELECT feature_idx, avg(x) AS mean,
-         CASE WHEN var_pop(x) < {10 * 2.220446049250313e-16!r} THEN 1.0 ELSE sqrt(var_pop(x)) END AS std
+         CASE WHEN var_pop(x) = 0 THEN 1.0 ELSE sqrt(var_pop(x)) END AS std
   FROM lng WHERE split = 'train' GROUP BY feature_idx),
 parr AS (SELECT list(mean ORDER BY feature_idx) AS means, list(std ORDER BY feature_idx) AS stds FROM params),
 scaled AS (
   SELECT s.id, s.label, s.split, s.n_train, s.trk,
          list_transform(range(len(s.features)), lambda i: (s.features[i + 1] - p.means[i + 1]) / p.stds[i + 1]) AS features
   FROM sp s CROSS JOIN parr p),
-small AS (SELECT * FROM scaled WHERE split = 'train' AND n_train < {FIXTURE_TARGET}),
+tgt AS (SELECT n_train AS target FROM (SELECT n_train, row_number() OVER (ORDER BY n_train) AS k, count(*) OVER () AS c
+        FROM quota WHERE n_train > 0) WHERE k = (c + 1) // 2),
+small AS (SELECT * FROM scaled WHERE split = 'train' AND n_train < (SELECT target FROM tgt)),
 prs AS (
   SELECT a.id, a.label, a.trk, b.id AS oid, {_dist('b.features', 'a.features')} AS d
   FROM small a JOIN small b ON a.label = b.label AND a.id <> b.id),
 nnr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, oid) AS nr FROM prs),
-plan0 AS (SELECT label, n_train, unnest(range({FIXTURE_TARGET} - n_train)) AS j FROM (SELECT DISTINCT label, n_train FROM small)),
+plan0 AS (SELECT label, n_train, unnest(range((SELECT target FROM tgt) - n_train)) AS j FROM (SELECT DISTINCT label, n_train FROM small)),
 plan AS (
   SELECT label, n_train, j,
          CAST(floor({_u('base', 'label', 'j')} * n_train) + 1 AS INTEGER) AS base_trk,
@@ -70,7 +72,7 @@ syn AS (
   JOIN small o ON o.id = n.oid),
 kept AS (
   SELECT id, label, features, false AS is_synthetic FROM scaled
-  WHERE split = 'train' AND (n_train <= {FIXTURE_TARGET} OR trk <= {FIXTURE_TARGET})),
+  WHERE split = 'train' AND (n_train <= (SELECT target FROM tgt) OR trk <= (SELECT target FROM tgt))),
 bal AS (SELECT * FROM kept UNION ALL SELECT * FROM syn),
 mr AS (
   SELECT id, label, features, is_synthetic, 'train_balanced' AS split FROM bal
@@ -101,13 +103,15 @@ KFOLD = w("q AS (SELECT id, label, CAST((trk - 1) % 3 AS INTEGER) AS fold FROM s
 SCALER_FIT = w(f"q AS (SELECT feature_idx, round(mean, {R6}) AS mean, round(std, {R6}) AS std FROM params) SELECT * FROM q")
 SCALER_APPLY = w(f"q AS ({_long('scaled', 'id, split')}) SELECT * FROM q")
 UNDERSAMPLE = w(f"""q AS (SELECT id, label FROM sp WHERE split = 'train'
-  AND (n_train <= {FIXTURE_TARGET} OR trk <= {FIXTURE_TARGET})) SELECT * FROM q""")
+  AND (n_train <= (SELECT target FROM tgt) OR trk <= (SELECT target FROM tgt))) SELECT * FROM q""")
 SMOTE = w(f"q AS ({_long('syn', 'id, label')}) SELECT * FROM q")
 BALANCED_TRAIN = w(f"q AS ({_long('bal', 'id, label, is_synthetic')}) SELECT * FROM q")
 PRUNE_TRAIN = w("""q AS (SELECT id, label FROM sp WHERE split = 'train'
   AND trk <= n_train - CAST(floor(n_train * 0.1) AS BIGINT)) SELECT * FROM q""")
 KNN_PREDICT = w("q AS (SELECT id, label, prediction, votes FROM pred) SELECT * FROM q")
-CONFUSION_MATRIX = w("q AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY label, prediction) SELECT * FROM q")
+CONFUSION_MATRIX = w("""seen AS (SELECT label AS c FROM pred UNION SELECT prediction FROM pred),
+q AS (SELECT a.c AS label, b.c AS prediction, (SELECT count(*) FROM pred WHERE label = a.c AND prediction = b.c) AS n
+      FROM seen a CROSS JOIN seen b) SELECT * FROM q""")
 
 PER_CLASS = """
 cm AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY label, prediction),
@@ -155,7 +159,7 @@ g2 AS (SELECT *, lag(tps) OVER wd AS ptp, lead(tps) OVER wd AS ntp, lag(fps) OVE
 pts AS (
   SELECT cls, 0.0 AS fpr, 0.0 AS tpr FROM classes
   UNION ALL
-  SELECT cls, fps / n_neg, tps / n_pos FROM g2
+  SELECT cls, fps / nullif(n_neg, 0), tps / nullif(n_pos, 0) FROM g2
   WHERE ptp IS NULL OR ntp IS NULL OR (ntp - tps) <> (tps - ptp) OR (nfp - fps) <> (fps - pfp))
 """
 
@@ -163,28 +167,29 @@ ROC_POINTS = w(ROC_CTES.strip() + f""",
 q AS (SELECT CAST(cls AS INTEGER) AS cls, round(fpr, {R6}) AS fpr, round(tpr, {R6}) AS tpr FROM pts)
 SELECT * FROM q""")
 
+# Mann-Whitney over pairs of distinct scores, not the area under the points
 AUC_OVR = w(ROC_CTES.strip() + f""",
-a0 AS (SELECT cls, fpr, tpr, lag(fpr) OVER (PARTITION BY cls ORDER BY fpr, tpr) AS px,
-              lag(tpr) OVER (PARTITION BY cls ORDER BY fpr, tpr) AS py FROM pts),
-q AS (SELECT CAST(cls AS INTEGER) AS cls, round(sum(coalesce((fpr - px) * (tpr + py) / 2, 0.0)), {R6}) AS auc
-      FROM a0 GROUP BY cls)
+mw AS (SELECT a.cls, sum(a.p * b.q * CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0 END)
+         / nullif(sum(a.p * b.q), 0) AS auc FROM g0 a JOIN g0 b USING (cls) GROUP BY a.cls),
+q AS (SELECT CAST(cls AS INTEGER) AS cls, round(auc, {R6}) AS auc FROM mw)
 SELECT * FROM q""")
 
 
 # --- expansion and ANOVA -----------------------------------------------------
 
 EXPAND_CTES = """
-mrl AS (SELECT id, label, split, CAST(unnest(range(len(features))) AS INTEGER) AS i, unnest(features) AS x FROM mr),
+mrl AS (SELECT id, label, split, CAST(unnest(range(len(features))) AS INTEGER) AS i, unnest(features) AS x FROM scaled),
+dd AS (SELECT max(len(features)) AS d FROM scaled),
 pr AS (
   SELECT a.id, a.label, a.split, a.i, b.i AS j, a.x AS xa, b.x AS xb,
-         CAST(a.i * (2 * 64 - a.i - 1) // 2 + b.i - a.i - 1 AS INTEGER) AS p
-  FROM mrl a JOIN mrl b ON a.id = b.id AND a.split = b.split AND a.i < b.i),
+         CAST(a.i * (2 * d - a.i - 1) // 2 + b.i - a.i - 1 AS INTEGER) AS p, d
+  FROM dd CROSS JOIN mrl a JOIN mrl b ON a.id = b.id AND a.split = b.split AND a.i < b.i),
 ex_orig AS (SELECT id, label, split, i AS feature_id, x AS value FROM mrl),
-ex_plus AS (SELECT id, label, split, 64 + 4 * p + 0 AS feature_id, xa + xb AS value FROM pr),
-ex_minus AS (SELECT id, label, split, 64 + 4 * p + 1 AS feature_id, xa - xb AS value FROM pr),
-ex_div AS (SELECT id, label, split, 64 + 4 * p + 2 AS feature_id,
+ex_plus AS (SELECT id, label, split, d + 4 * p + 0 AS feature_id, xa + xb AS value FROM pr),
+ex_minus AS (SELECT id, label, split, d + 4 * p + 1 AS feature_id, xa - xb AS value FROM pr),
+ex_div AS (SELECT id, label, split, d + 4 * p + 2 AS feature_id,
                   CASE WHEN xb + 1e-6 = 0 THEN NULL ELSE xa / (xb + 1e-6) END AS value FROM pr),
-ex_mul AS (SELECT id, label, split, 64 + 4 * p + 3 AS feature_id, xa * xb AS value FROM pr),
+ex_mul AS (SELECT id, label, split, d + 4 * p + 3 AS feature_id, xa * xb AS value FROM pr),
 ex_all AS (SELECT * FROM ex_orig UNION ALL SELECT * FROM ex_plus UNION ALL SELECT * FROM ex_minus
            UNION ALL SELECT * FROM ex_div UNION ALL SELECT * FROM ex_mul)
 """
@@ -202,16 +207,13 @@ INTERACTION_FEATURES = _moments_sql("ex_mul")
 EXPAND_ALL = _moments_sql("ex_all")
 
 ANOVA_CTES = """
-tr AS (SELECT * FROM ex_all WHERE split = 'train_balanced'),
+tr AS (SELECT * FROM ex_all WHERE split = 'train'),
 bad AS (SELECT DISTINCT feature_id FROM tr WHERE value IS NULL),
-aper AS (SELECT feature_id, label, count(*) AS nk, sum(value) AS sk, sum(value * value) AS qk FROM tr GROUP BY feature_id, label),
-atot AS (SELECT feature_id, CAST(sum(nk) AS DOUBLE) AS n, count(*) AS k, sum(sk) AS s, sum(qk) AS q, sum(sk * sk / nk) AS sb
-        FROM aper GROUP BY feature_id),
+aper AS (SELECT feature_id, label, count(*) AS nk, avg(value) AS mk, var_pop(value) AS vk FROM tr GROUP BY feature_id, label),
+aall AS (SELECT feature_id, count(*) AS n, avg(value) AS m FROM tr GROUP BY feature_id),
 fs AS (
-  SELECT feature_id,
-    CASE WHEN ((q - s * s / n) - (sb - s * s / n)) / (n - k) = 0 THEN NULL
-         ELSE ((sb - s * s / n) / (k - 1)) / (((q - s * s / n) - (sb - s * s / n)) / (n - k)) END AS f
-  FROM atot WHERE feature_id NOT IN (SELECT feature_id FROM bad))
+  SELECT feature_id, (sum(nk * (mk - m) * (mk - m)) / (count(*) - 1)) / nullif(sum(nk * vk) / (max(n) - count(*)), 0) AS f
+  FROM aper JOIN aall USING (feature_id) WHERE feature_id NOT IN (SELECT feature_id FROM bad) GROUP BY feature_id)
 """
 
 ANOVA_F = w(EXPAND_CTES.strip() + ",\n" + ANOVA_CTES.strip() + f""",

@@ -1,9 +1,11 @@
 """Registered stage 3-5 queries over the driver's ``embeddings`` table used
 as the labelled feature matrix.  Each takes ``(spark, sf_dir)``.
 
-Balancing uses 40 rows per class (the fixture setting in FIXTURES.md) so both
-the undersampling and the SMOTE branch run on the small test tables; the
-pipeline default stays 500."""
+The input is read once: the split rows are written to the shared folder, and
+scaling, balancing and evaluation start from there.  Balancing takes the
+median class train size as target, so both the undersampling and the SMOTE
+branch have work at every scale; the pipeline default stays 500.  Moments and
+ANOVA fit no classifier and see all rows of the split."""
 
 from __future__ import annotations
 
@@ -12,15 +14,15 @@ from pyspark.sql import functions as F
 
 from ..operators import anova as A
 from ..operators import balance as B
-from ..operators import expand as X
 from ..operators import knn as K
 from ..operators import metrics as M
 from ..operators import sampling as S
+from ..operators.moments import expanded_moments, width
 from ..operators.scale import ScalerModel, scaler_fit
+from ..session import write_shared
 from ..sources.features import embedding_matrix
 
 R6 = 6
-FIXTURE_TARGET = 40
 KNN_K = 15
 
 
@@ -29,27 +31,34 @@ def _r(c: str) -> F.Column:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.stratified_split(embedding_matrix(spark, sf_dir))
+    return write_shared(S.stratified_split(embedding_matrix(spark, sf_dir)), "split")
 
 
 def scaled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the split, scaled: a narrow step on the written split."""
     sp = split_rows(spark, sf_dir)
-    model = ScalerModel(scaler_fit(sp.where(F.col("split") == "train")))
-    return model.transform(sp)
+    return ScalerModel(scaler_fit(sp.where(F.col("split") == "train"))).transform(sp)
 
 
-def balanced_rows(spark: SparkSession, sf_dir: str, target: int = FIXTURE_TARGET) -> DataFrame:
-    sc = scaled_rows(spark, sf_dir)
-    return B.balance(sc.where(F.col("split") == "train"), target)
+def _train_and_target(rows: DataFrame) -> tuple[DataFrame, list[int], int]:
+    train = rows.where(F.col("split") == "train")
+    sizes = B.class_sizes(train)
+    return train, sizes, B.median_size(sizes)
+
+
+def balanced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, sizes, target = _train_and_target(scaled_rows(spark, sf_dir))
+    return B.balance(train, target, sizes=sizes)
 
 
-def model_ready(spark: SparkSession, sf_dir: str, target: int = FIXTURE_TARGET) -> DataFrame:
-    """(id, split, is_synthetic, label, features): balanced train + test."""
+def model_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, split, is_synthetic, label, features): balanced train + test,
+    written once."""
     sc = scaled_rows(spark, sf_dir)
-    bal = B.balance(sc.where(F.col("split") == "train"), target)
+    train, sizes, target = _train_and_target(sc)
     test = sc.where(F.col("split") == "test").select("id", "label", "features", F.lit(False).alias("is_synthetic"))
-    return (bal.withColumn("split", F.lit("train_balanced"))
-            .unionByName(test.withColumn("split", F.lit("test"))))
+    return write_shared(B.balance(train, target, sizes=sizes).withColumn("split", F.lit("train_balanced"))
+                        .unionByName(test.withColumn("split", F.lit("test"))), "model-ready")
 
 
 def _long(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,58 +88,59 @@ def q_scaler_apply(spark, sf_dir):
 
 
 def q_undersample(spark, sf_dir):
-    return S.undersample(split_rows(spark, sf_dir), FIXTURE_TARGET).select("id", "label")
+    sp = split_rows(spark, sf_dir)
+    return S.undersample(sp, _train_and_target(sp)[2]).select("id", "label")
 
 
 def q_smote(spark, sf_dir):
-    sc = scaled_rows(spark, sf_dir)
-    syn = B.smote(sc.where(F.col("split") == "train"), FIXTURE_TARGET)
-    return _long(syn, ["id", "label"])
+    train, _, target = _train_and_target(scaled_rows(spark, sf_dir))
+    return _long(B.smote(train, target), ["id", "label"])
 
 
 def q_balanced_train(spark, sf_dir):
     return _long(balanced_rows(spark, sf_dir), ["id", "label", "is_synthetic"])
 
 
-def _expanded(spark, sf_dir, ops, include_original):
-    mr = model_ready(spark, sf_dir)
-    d = 64
-    return X.expand_long(mr.select("id", "label", "split", "features"), d, ops, include_original)
-
-
-def _moments(long: DataFrame) -> DataFrame:
-    return X.feature_moments(long).select("feature_id", "n", _r("mean"), _r("std"))
+def _moments(spark, sf_dir, ops, include_original) -> DataFrame:
+    """Per expanded feature: count of defined values, mean, population std,
+    over all scaled rows, train and test."""
+    rows = scaled_rows(spark, sf_dir)
+    width(rows)
+    m = expanded_moments(rows, ops, include_original)
+    return m.select("feature_id", "n", _r("mean"), F.round(F.sqrt(F.try_divide("m2", "n")), R6).alias("std"))
 
 
 def q_pair_features(spark, sf_dir):
-    return _moments(_expanded(spark, sf_dir, ["PLUS", "MINUS", "DIV"], False))
+    return _moments(spark, sf_dir, ["PLUS", "MINUS", "DIV"], False)
 
 
 def q_interaction_features(spark, sf_dir):
-    return _moments(_expanded(spark, sf_dir, ["MUL"], False))
+    return _moments(spark, sf_dir, ["MUL"], False)
 
 
 def q_expand_all(spark, sf_dir):
-    return _moments(_expanded(spark, sf_dir, None, True))
+    return _moments(spark, sf_dir, None, True)
 
 
-def _train_expanded(spark, sf_dir):
-    return _expanded(spark, sf_dir, None, True).where(F.col("split") == "train_balanced")
+def _train_scores(spark, sf_dir):
+    train = scaled_rows(spark, sf_dir).where(F.col("split") == "train")
+    width(train)
+    return A.anova_f(write_shared(expanded_moments(train, group="label"), "moments"))
 
 
 def q_anova_f(spark, sf_dir):
-    return A.anova_f(_train_expanded(spark, sf_dir)).select("feature_id", _r("f"))
+    return _train_scores(spark, sf_dir).select("feature_id", _r("f"))
 
 
 def q_anova_topk(spark, sf_dir):
-    return A.top_k(A.anova_f(_train_expanded(spark, sf_dir))).select("feature_id", _r("f"))
+    return A.top_k(_train_scores(spark, sf_dir)).select("feature_id", _r("f"))
 
 
 def knn_test_predictions(spark, sf_dir, k: int = KNN_K) -> DataFrame:
     mr = model_ready(spark, sf_dir)
     train = mr.where(F.col("split") == "train_balanced")
     test = mr.where(F.col("split") == "test")
-    return K.knn_predict(train, test, k)
+    return write_shared(K.knn_predict(train, test, k), "predictions")
 
 
 def q_knn_predict(spark, sf_dir):
@@ -138,7 +148,7 @@ def q_knn_predict(spark, sf_dir):
 
 
 def q_confusion_matrix(spark, sf_dir):
-    return M.confusion(knn_test_predictions(spark, sf_dir))
+    return M.dense_confusion(knn_test_predictions(spark, sf_dir))
 
 
 def q_macro_metrics(spark, sf_dir):
@@ -162,8 +172,8 @@ def q_roc_points(spark, sf_dir):
 
 
 def q_auc_ovr(spark, sf_dir):
-    pts = M.roc_points(knn_test_predictions(spark, sf_dir), _classes(spark, sf_dir))
-    return M.auc_from_points(pts).select(F.col("cls").cast("int").alias("cls"), _r("auc"))
+    return M.auc(knn_test_predictions(spark, sf_dir), _classes(spark, sf_dir)).select(
+        F.col("cls").cast("int").alias("cls"), _r("auc"))
 
 
 def q_prune_train(spark, sf_dir):

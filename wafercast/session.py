@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="wafercast-ckpt-", dir=base)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def write_shared(df, label: str):
+    """Write ``df`` once into the shared checkpoint folder and read it back:
+    cuts the lineage without computing the rows twice, and every executor
+    sees the files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
