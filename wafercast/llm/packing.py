@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -57,7 +58,7 @@ POOL_FILL = 0.97
 def _reader(path: str) -> ChunkReader:
     tok = load_tokenizer(path)
     model = tok.model
-    return ChunkReader(tok, lambda p: np.array([t.id for t in model.tokenize(p)], "<u4").tobytes(),
+    return ChunkReader(tok, lambda p: struct.pack(f"<{len(t := model.tokenize(p))}I", *[x.id for x in t]),
                        lambda s: np.array([tok.token_to_id(s)], "<u4").tobytes(), b"".join)
 
 

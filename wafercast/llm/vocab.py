@@ -12,10 +12,23 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-CACHE = 400_000
+CACHE = 1_000_000
 LONG = 64
-#: The pattern of word_bpe_49k.json for lower-case ASCII.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The pattern of word_bpe_49k.json, for lower-case texts of ASCII
+#: and the Latin letters below U+0250, which are their own normal form.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-zß-öø-ɏ0-9]+")
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-įı-ɏ]*").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for a byte: itself if it is printable Latin-1,
+    else the next free letter from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    free = iter(range(0x100, 0x200))
+    return {b: chr(b if b in shown else next(free)) for b in range(256)}
+
+
+_LETTERS = _byte_letters()
 
 
 def load_tokenizer(path: str):
@@ -32,7 +45,8 @@ class ChunkReader:
         special = sorted((t.content for t in tok.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.names = set(special)
-        self.marks = {s[:2].encode() for s in special}
+        # with added tokens that begin alike, a chunk without that beginning has none of them
+        self.mark = special[0][:2].encode() if len({t[:2] for t in special}) == 1 else b""
         self.chunks: dict[bytes, object] = {}
         self.pieces: dict[str, object] = {}
 
@@ -46,16 +60,22 @@ class ChunkReader:
                 self.pieces[piece] = got
         return got
 
+    def _word(self, word: str):
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(_LETTERS)
+        return self._piece(word)
+
     def _split(self, text: str):
         normal = self.tok.normalizer.normalize_str(text)
         return [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(normal)]
 
     def _chunk(self, chunk: bytes):
-        plain = chunk.isascii() and not any(m in chunk for m in self.marks)
-        if plain:
-            got = self.total([self._piece(p) for p in _ASCII.findall(chunk.decode().lower())])
+        text = chunk.decode("utf-8", "replace")
+        if _LATIN(text) and self.mark not in chunk:
+            words = _WORDS.findall(text.lower())
+            got = self.total([self._word(w) for w in words])
         else:
-            text, values = chunk.decode("utf-8", "replace"), []
+            values = []
             for part in self.special.split(text) if self.special else [text]:
                 if part in self.names:
                     values.append(self.of_special(part))
