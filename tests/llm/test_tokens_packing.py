@@ -40,11 +40,14 @@ def test_counts_edge_cases(edge, empty, tok):
 
 def test_counts_odd_texts(tok):
     reader = token_counts._reader(token_counts.vocabulary_path())
+    ids_of = packing._reader(token_counts.vocabulary_path())
     rng = random.Random(5)
-    parts = list("abcXYZ  \t\n'12.,!?é ßİΣσς漢字🙂\u0085\x1c|<> ſK") + ["<|endoftext|>", "'s", "'LL", "</w>", "é"]
+    parts = list("abcXYZ  \t\n'12.,!?éÀÿ×÷ªµßİıŉǅɏΣσς漢字🙂\u00ad\u0085\x1c\x00\x7f|<> ſK") + ["<|endoftext|>", "'s", "'LL", "</w>", "é"]
     for _ in range(1500):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(30)))
-        assert sum(reader.values(text.encode())) == len(ids(tok, text)), repr(text)
+        want = ids(tok, text)
+        assert sum(reader.values(text.encode())) == len(want), repr(text)
+        assert b"".join(ids_of.values(text.encode())) == np.array(want, "<u4").tobytes(), repr(text)
     long = "".join(rng.choice("abcdefgh") for _ in range(20000))
     assert sum(reader.values(long.encode())) == len(ids(tok, long))
 
