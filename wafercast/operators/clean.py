@@ -1,7 +1,8 @@
 """Stage 1: label cleaning, filters, 2x2 median filter and nearest-neighbour
 resize.  Everything stays in row form (one row per wafer, the map as a nested
-array), so the stage is a chain of narrow projections and filters: no shuffle,
-no Python worker, whole-stage codegen end to end."""
+array), so the stage is a chain of narrow projections and filters: no shuffle
+and no Python worker.  The map expressions are higher-order functions, which
+Spark evaluates outside generated code."""
 
 from __future__ import annotations
 
@@ -59,11 +60,15 @@ def filter_wafers(df: DataFrame) -> DataFrame:
     )
 
 
-def ragged_wafers(raw: DataFrame, map_col: str = "waferMap") -> DataFrame:
-    """Quarantine maps that are not 2-D rectangles (an inner row whose
-    length differs from the first row, or an empty map)."""
+def is_ragged(map_col: str = "waferMap") -> F.Column:
+    """Not a 2-D rectangle: no rows, or rows of different lengths."""
     # one reference to the map, so a generated map is never inlined twice
-    return raw.where(F.expr(f"size(array_distinct(transform({map_col}, row -> size(row)))) <> 1"))
+    return F.expr(f"coalesce(size(array_distinct(transform({map_col}, row -> size(row)))), 0) <> 1")
+
+
+def ragged_wafers(raw: DataFrame, map_col: str = "waferMap") -> DataFrame:
+    """The maps that :func:`clean_wafers` leaves out, for quarantine."""
+    return raw.where(is_ragged(map_col))
 
 
 # ---------------------------------------------------------------------------
@@ -125,10 +130,10 @@ def encode_labels(df: DataFrame) -> DataFrame:
 
 
 def clean_wafers(raw: DataFrame) -> DataFrame:
-    """Stage 1 end to end: labels -> filters -> denoise at the original size ->
-    encode -> resize to 64x64.  Output ``wafer_id, failure_type,
+    """Stage 1 end to end: labels -> filters and validation -> denoise at the
+    original size -> encode -> resize to 64x64.  Output ``wafer_id, failure_type,
     train_test_label, label, h, w, map`` with ``map`` a 64x64 nested array."""
-    df = filter_wafers(clean_labels(raw))
+    df = filter_wafers(clean_labels(raw)).where(~is_ragged())
     df = apply_denoise(df)
     df = encode_labels(df)
     df = apply_resize(df)
@@ -136,6 +141,11 @@ def clean_wafers(raw: DataFrame) -> DataFrame:
         "wafer_id", "failure_type", "train_test_label", "label", "h", "w", "map")
 
 
+def map_digest(map_col: str = "map") -> F.Column:
+    """md5 of the map's cells as one digit string, row by row."""
+    return F.md5(F.expr(f"array_join(transform(flatten({map_col}), x -> CAST(x AS STRING)), '')"))
+
+
 def row_strings(df: DataFrame, map_col: str) -> DataFrame:
     """Long form of a map for checking: one row per map row, the row's cells
     as a digit string (structs built inside the row, exploded once)."""

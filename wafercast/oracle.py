@@ -5,8 +5,10 @@ code path, and serve as the correctness oracle."""
 
 from __future__ import annotations
 
+import math
+
 from .functions.constants import (CLASS_NAMES, EXCLUDED_CLASS, ZONES)
-from .sources.wafers import cell_sql
+from .sources.wafers import RAGGED, cell_sql
 
 R6 = 6  # decimals kept for floating-point columns
 
@@ -29,7 +31,10 @@ hdr AS (
 hdr_rows AS (SELECT wafer_id, h, w, k, CAST(unnest(range(h)) AS INTEGER) AS r FROM hdr),
 raw_cells AS (
   SELECT wafer_id, h, w, k, r, c, CAST({cell_sql('duckdb')} AS INTEGER) AS v
-  FROM (SELECT wafer_id, h, w, k, r, CAST(unnest(range(w)) AS INTEGER) AS c FROM hdr_rows)),
+  FROM (SELECT wafer_id, h, w, k, r, CAST(unnest(range(w)) AS INTEGER) AS c FROM hdr_rows)
+  WHERE NOT ({RAGGED} AND r = 1 AND c = w - 1)),
+row_len AS (SELECT wafer_id, r, count(*) AS len FROM raw_cells GROUP BY wafer_id, r),
+ragged AS (SELECT wafer_id FROM row_len GROUP BY wafer_id HAVING count(DISTINCT len) > 1),
 labelled AS (
   SELECT wafer_id, h, w, k, {_names_case()} AS failure_type,
          CASE WHEN wafer_id % 7 = 3 THEN NULL WHEN wafer_id % 5 = 0 THEN 'Test' ELSE 'Training' END AS train_test_label
@@ -37,7 +42,8 @@ labelled AS (
 clean_hdr AS (
   SELECT wafer_id, failure_type, train_test_label, CAST({_codes_case()} AS INTEGER) AS label, h, w
   FROM labelled
-  WHERE failure_type IS NOT NULL AND h > 5 AND w > 5 AND failure_type <> '{EXCLUDED_CLASS}'),
+  WHERE failure_type IS NOT NULL AND h > 5 AND w > 5 AND failure_type <> '{EXCLUDED_CLASS}'
+    AND wafer_id NOT IN (SELECT wafer_id FROM ragged)),
 clean_ids AS (SELECT wafer_id, label, h, w FROM clean_hdr),
 med0 AS (
   SELECT c.wafer_id, c.h, c.w, c.r, c.c, c.v,
@@ -63,8 +69,9 @@ def with_wafers(body: str) -> str:
 
 
 CLEAN_WAFERS = with_wafers("""
-q AS (SELECT * FROM clean_hdr)
-SELECT wafer_id, failure_type, train_test_label, label, h, w FROM q
+dig AS (SELECT wafer_id, md5(string_agg(CAST(v AS VARCHAR), '' ORDER BY r, c)) AS map_md5 FROM rs GROUP BY wafer_id),
+q AS (SELECT * FROM clean_hdr JOIN dig USING (wafer_id))
+SELECT wafer_id, failure_type, train_test_label, label, h, w, map_md5 FROM q
 """)
 
 MEDIAN_FILTER = with_wafers("""
@@ -131,9 +138,7 @@ SELECT * FROM q
 """)
 
 BAD_WAFERS = with_wafers("""
-row_len AS (SELECT wafer_id, r, count(*) AS len FROM raw_cells GROUP BY wafer_id, r),
-q AS (SELECT l.wafer_id, h.h, h.w FROM row_len l JOIN hdr h USING (wafer_id)
-      GROUP BY l.wafer_id, h.h, h.w HAVING count(DISTINCT l.len) > 1)
+q AS (SELECT wafer_id, h, w FROM hdr JOIN ragged USING (wafer_id))
 SELECT * FROM q
 """)
 
@@ -311,23 +316,34 @@ prof AS (SELECT wafer_id, bin, mean, sqrt(greatest(m2 - mean * mean, 0.0)) AS st
 """
 
 
-RADON_SINOGRAM = with_wafers(_radon_ctes(None).strip() + f""",
-q AS (SELECT wafer_id, bin, round(mean, {R6}) AS mean, round(std, {R6}) AS std FROM prof)
+def _samples() -> list[tuple[int, int, float]]:
+    """(k, left bin, weight of the right bin) of the 20 evenly spaced profile
+    positions over 91 bins: a position interpolates from the bin below it."""
+    out = []
+    for k in range(20):
+        left = max(0, math.ceil(k * 90 / 19) - 1)
+        out.append((k, left, k * 90 / 19 - left))
+    return out
+
+
+_BINS = sorted({b for _, lo, _ in _samples() for b in (lo, lo + 1)})
+
+RADON_SINOGRAM = with_wafers(_radon_ctes(_BINS).strip() + f""",
+q AS (SELECT wafer_id, theta_idx, bin, round(s, {R6}) AS s FROM sino)
 SELECT * FROM q
 """)
 
 
 def _radon_profile_sql() -> str:
-    from .operators.radon import needed_bins, sample_points
     cols = []
     for stat, prefix in (("mean", "radon_mean_"), ("std", "radon_std_")):
-        for k, lo, hi, x in sample_points():
+        for k, lo, part in _samples():
             y_lo = f"sum(CASE WHEN bin = {lo} THEN {stat} ELSE 0.0 END)"
-            y_hi = f"sum(CASE WHEN bin = {hi} THEN {stat} ELSE 0.0 END)"
-            cols.append(f"({y_hi} - {y_lo}) * {repr(float(x - lo))} + {y_lo} AS {prefix}{k + 1}")
+            y_hi = f"sum(CASE WHEN bin = {lo + 1} THEN {stat} ELSE 0.0 END)"
+            cols.append(f"({y_hi} - {y_lo}) * {repr(part)} + {y_lo} AS {prefix}{k + 1}")
     names = [f"radon_mean_{i}" for i in range(1, 21)] + [f"radon_std_{i}" for i in range(1, 21)]
     outer = ", ".join(f"round(coalesce(f.{n}, 0.0), {R6}) AS {n}" for n in names)
-    return with_wafers(_radon_ctes(needed_bins()).strip() + f""",
+    return with_wafers(_radon_ctes(_BINS).strip() + f""",
 feats AS (SELECT wafer_id, {", ".join(cols)} FROM prof GROUP BY wafer_id),
 q AS (SELECT ci.wafer_id, {outer} FROM clean_ids ci LEFT JOIN feats f USING (wafer_id))
 SELECT * FROM q
@@ -340,21 +356,20 @@ RADON_PROFILE = _radon_profile_sql()
 # --- all 66 features ----------------------------------------------------------
 
 def _wafer_features_sql() -> str:
-    from .operators.radon import needed_bins, sample_points
     from .functions.constants import FEATURE_NAMES
     rcols = []
     for stat, prefix in (("mean", "radon_mean_"), ("std", "radon_std_")):
-        for k, lo, hi, x in sample_points():
+        for k, lo, part in _samples():
             y_lo = f"sum(CASE WHEN bin = {lo} THEN {stat} ELSE 0.0 END)"
-            y_hi = f"sum(CASE WHEN bin = {hi} THEN {stat} ELSE 0.0 END)"
-            rcols.append(f"({y_hi} - {y_lo}) * {repr(float(x - lo))} + {y_lo} AS {prefix}{k + 1}")
+            y_hi = f"sum(CASE WHEN bin = {lo + 1} THEN {stat} ELSE 0.0 END)"
+            rcols.append(f"({y_hi} - {y_lo}) * {repr(part)} + {y_lo} AS {prefix}{k + 1}")
     dens = _zone_cols().replace(f", {R6}) AS", ", 12) AS")
     sel = []
     for n in FEATURE_NAMES:
         src = f"coalesce(rf.{n}, 0.0)" if n.startswith("radon") else n
         sel.append(f"round({src}, {R6}) AS {n}")
     body = (STATS_CTE.strip() + ",\n" + REGION_CTES.strip() + ",\n" + PERIMETER_CTES.strip() + ",\n"
-            + AXES_CTES.strip() + ",\n" + SOLIDITY_CTES.strip() + ",\n" + _radon_ctes(needed_bins()).strip() + f""",
+            + AXES_CTES.strip() + ",\n" + SOLIDITY_CTES.strip() + ",\n" + _radon_ctes(_BINS).strip() + f""",
 dz AS (SELECT wafer_id, {dens} FROM rs GROUP BY wafer_id),
 rf AS (SELECT wafer_id, {", ".join(rcols)} FROM prof GROUP BY wafer_id),
 geo AS (

@@ -67,7 +67,7 @@ def _eval(pred_test: DataFrame, pred_train: DataFrame) -> dict:
             "Test_Accuracy": float(te["accuracy"])}
 
 
-def registry(d: int, include_boosting: bool = True) -> dict:
+def registry(d: int) -> dict:
     """name -> (make(n, **params) -> estimator, grid, input transform)."""
     w, b = ML.rff_columns(d)
     reg = {
@@ -80,10 +80,9 @@ def registry(d: int, include_boosting: bool = True) -> dict:
         "SVM": (lambda n, C: ML.svm(C, n), [{"C": c} for c in (0.1, 1.0)],
                 lambda df: ML.rff_transform(df, w, b)),
     }
-    if include_boosting:
-        reg["GradBoosting"] = (lambda n: ML.boosting(100, 3, 0.05), [{}], None)
-        reg["XGBoost"] = (lambda n, gamma: ML.boosting(100, 3, 0.05, min_gain=gamma * 1e-3, subsample=0.8),
-                          [{"gamma": g} for g in (1, 5)], None)
+    reg["GradBoosting"] = (lambda n: ML.boosting(100, 3, 0.05), [{}], None)
+    reg["XGBoost"] = (lambda n, gamma: ML.boosting(100, 3, 0.05, min_gain=gamma * 1e-3, subsample=0.8),
+                      [{"gamma": g} for g in (1, 5)], None)
     return reg
 
 
@@ -100,9 +99,9 @@ def _knn_search(train: DataFrame, test: DataFrame, grid: list[dict]):
 
 
 def bake_off(spark: SparkSession, mr: DataFrame, track_ids: dict[str, list[int]], d: int,
-             models: list[str] | None = None, include_boosting: bool = True) -> DataFrame:
+             models: list[str] | None = None) -> DataFrame:
     ex = expanded_array(mr, d)
-    reg = registry(d, include_boosting)
+    reg = registry(d)
     rows = []
     for track, ids in track_ids.items():
         data = select_columns(ex, ids)

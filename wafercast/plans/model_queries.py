@@ -1,64 +1,47 @@
-"""Registered model-job queries (stages 4-5, rows-only checks: model fits
-have no SQL twin).  The selection tracks and the leaderboard are computed
-once per (session, input) and written as parquet under the session's
-checkpoint folder; the report queries read that table back."""
+"""Registered model-job queries (rows-only checks: model fits have no SQL twin).
 
-from __future__ import annotations
+The balanced training rows and the test rows are written once
+(:func:`wafercast.plans.ml_queries.model_ready`) and every fit starts there, in
+as few partitions as the rows need.  Widths come from the data."""
 
-import hashlib
+from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import N_RF, N_RFE
+from ..operators import anova as A
 from ..operators import leaderboard as LB
-from ..session import ensure_checkpoint_dir
 from ..operators import models as ML
+from ..operators import sampling as S
+from ..operators.moments import expanded_moments, width
+from ..operators.scale import ScalerModel, scaler_fit
+from ..session import ensure_checkpoint_dir, write_shared
+from ..sources import stages
+from ..sources.features import features_to_matrix
+from ..sources.wafers import raw_wafers
 from . import bakeoff as BO
 from .ml_queries import model_ready
+from .report_queries import _chosen
+from .scoring import score_wafers
+from .wafer_queries import clean_maps
 
-D = 64
-FAST_MODELS = ["LogisticReg", "KNN", "DecisionTree", "RandomForest", "SVM"]
-_cache: dict = {}
-
-
-def _key(sf_dir: str, what: str) -> str:
-    return hashlib.md5(f"{sf_dir}|{what}".encode()).hexdigest()[:12]
-
-
-def _tracks(spark: SparkSession, sf_dir: str) -> dict[str, list[int]]:
-    k = ("tracks", sf_dir)
-    if k not in _cache:
-        _cache[k] = BO.tracks(spark, model_ready(spark, sf_dir), D)
-    return _cache[k]
-
-
-def q_track_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2-L4 + J3: (track, feature_id, rank) of every selection track."""
-    rows = [(t, int(f), i + 1) for t, ids in _tracks(spark, sf_dir).items() for i, f in enumerate(ids)]
-    return spark.createDataFrame(rows, "track string, feature_id int, rank int")
+#: the recursive elimination starts from so many ANOVA survivors and drops so
+#: many a round (the reference: 1,000 and 50; parameters of the job)
+RFE_START, RFE_DROP = 100, 15
 
 
-def q_track_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features shared by each pair of tracks (intersect)."""
-    tf = q_track_features(spark, sf_dir)
-    a, b = tf.alias("a"), tf.alias("b")
-    return (a.join(b, (F.col("a.feature_id") == F.col("b.feature_id")) & (F.col("a.track") < F.col("b.track")))
-            .groupBy(F.col("a.track").alias("track_a"), F.col("b.track").alias("track_b"))
-            .agg(F.count(F.lit(1)).alias("shared")))
-
-
-# --- single-model jobs on the 64 scaled base features (L3-L5, L7, L8, L11-L13) ---
-
-def _base(spark: SparkSession, sf_dir: str):
+def _base(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     mr = model_ready(spark, sf_dir)
-    train = BO.with_folds(mr.where(F.col("split") == "train_balanced").select("id", "label", "features")).cache()
-    test = mr.where(F.col("split") == "test").select("id", "label", "features").cache()
-    return train, test
+    train = write_shared(BO.with_folds(mr.where(F.col("split") == "train_balanced").select("id", "label", "features")), "train")
+    test = mr.where(F.col("split") == "test").select("id", "label", "features")
+    return ML.compact(train), ML.compact(test)
 
 
 def _fit_row(spark, sf_dir, name: str) -> DataFrame:
     train, test = _base(spark, sf_dir)
-    make, grid, prep = BO.registry(D, include_boosting=False)[name]
+    make, grid, prep = BO.registry(width(train))[name]
     tr = prep(train) if prep else train
     te = prep(test) if prep else test
     model, best, scores = ML.grid_search(make, grid, tr)
@@ -83,69 +66,54 @@ def q_fit_rbf_svm(spark, sf_dir):
     return _fit_row(spark, sf_dir, "SVM")
 
 
+def _survivors(train: DataFrame, k: int) -> tuple[list[int], DataFrame]:
+    """The ids of the ``k`` best expanded features and the rows with only them."""
+    d = width(train)
+    scores = write_shared(A.anova_f(expanded_moments(train, group="label")), "scores")
+    ids = sorted(r["feature_id"] for r in A.top_k(scores, k).collect())     # k rows
+    table = train.sparkSession.createDataFrame([("s", i, 0) for i in ids], "track string, feature_id int, rk int")
+    from ..operators.expand import project
+    rows = project(train.select("id", "label", "features"), _chosen(table, "s", d))
+    return ids, ML.compact(write_shared(rows, "survivors"))
+
+
 def q_lasso_select(spark, sf_dir):
-    """L4 + D8 + I6: base features kept by L1 logistic regression (first 25
-    in column order when fewer than 2 survive)."""
-    train, _ = _base(spark, sf_dir)
-    keep = ML.lasso_support(train)
-    ids = keep if len(keep) >= 2 else list(range(25))
-    return spark.createDataFrame([(int(i),) for i in ids], "feature_idx int")
+    """L4 + D8 + I6: the ANOVA survivors that L1 logistic regression keeps
+    (the first 25 in column order when fewer than 2 do)."""
+    ids, rows = _survivors(_base(spark, sf_dir)[0], A.N_PREFILTER)
+    keep = ML.lasso_support(rows)
+    chosen = [ids[i] for i in keep] if len(keep) >= 2 else ids[:25]
+    return spark.createDataFrame([(int(i),) for i in chosen], "feature_id int")
 
 
 def q_rf_importance(spark, sf_dir):
-    """L3 + I3 + I7: forest importances, ranked; the top 25 are the track."""
-    train, _ = _base(spark, sf_dir)
-    imp = ML.rf_importance(train)
+    """L3 + I3 + I7: forest importances over the whole expansion, ranked; the
+    top 25 are the track."""
+    train = _base(spark, sf_dir)[0]
+    wide = BO.expanded_array(train.select("id", "label", "features"), width(train))
+    imp = ML.rf_importance(wide.withColumn("features", F.transform("features", lambda v: F.coalesce(v, F.lit(0.0)))))
     order = sorted(range(len(imp)), key=lambda i: (-imp[i], i))
-    rows = [(int(i), float(imp[i]), r + 1, r < 25) for r, i in enumerate(order)]
-    return spark.createDataFrame(rows, "feature_idx int, importance double, rank int, selected boolean")
+    rows = [(int(i), float(imp[i]), r + 1, r < N_RF) for r, i in enumerate(order)]
+    return spark.createDataFrame(rows, "feature_id int, importance double, rank int, selected boolean")
 
 
 def q_rfe_select(spark, sf_dir):
-    """L2: recursive elimination 64 -> 25 (step 50 caps at the target)."""
-    train, _ = _base(spark, sf_dir)
-    return spark.createDataFrame([(int(i),) for i in ML.rfe(train, 25, 50)], "feature_idx int")
-
-
-def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(spark)}/leaderboard-{_key(sf_dir, 'lb')}"
-    k = ("lb", sf_dir)
-    if k not in _cache:
-        lb = BO.bake_off(spark, model_ready(spark, sf_dir), _tracks(spark, sf_dir), D, models=FAST_MODELS,
-                         include_boosting=False)
-        lb.write.mode("overwrite").parquet(path)
-        _cache[k] = path
-    return spark.read.parquet(_cache[k])
-
-
-def q_leaderboard(spark, sf_dir):
-    return LB.ranked(leaderboard(spark, sf_dir))
-
-
-def q_best_per_track(spark, sf_dir):
-    return LB.best_per_track(leaderboard(spark, sf_dir))
-
-
-def q_f1_pivot(spark, sf_dir):
-    return LB.f1_pivot(spark, leaderboard(spark, sf_dir), [t for t, _ in BO_TRACKS])
-
-
-def q_selection_table(spark, sf_dir):
-    counts = q_track_features(spark, sf_dir).groupBy(F.col("track").alias("Track")).agg(
-        F.count(F.lit(1)).alias("Feature_Count"))
-    return LB.selection_table(spark, leaderboard(spark, sf_dir), counts)
-
-
-def q_gap_table(spark, sf_dir):
-    return LB.gap_table(spark, leaderboard(spark, sf_dir))
-
-
-def q_overfit_trigger(spark, sf_dir):
-    return LB.overfit_trigger(leaderboard(spark, sf_dir))
-
-
-def q_winner(spark, sf_dir):
-    return LB.winner(leaderboard(spark, sf_dir))
-
-
-from ..functions.constants import TRACK_INFO as BO_TRACKS  # noqa: E402
+    """L2: recursive elimination over the best ANOVA survivors, several rounds."""
+    ids, rows = _survivors(_base(spark, sf_dir)[0], RFE_START)
+    return spark.createDataFrame([(int(ids[i]),) for i in ML.rfe(rows, N_RFE, RFE_DROP)], "feature_id int")
+
+
+def q_score_wafers(spark, sf_dir):
+    """Scaler and decision tree fitted on the training wafers' 66 features,
+    stored, read back and applied to all wafers."""
+    from .features import wafer_features
+    feats = write_shared(wafer_features(clean_maps(spark, sf_dir)), "features")
+    split = write_shared(S.stratified_split(features_to_matrix(feats)), "split")
+    train = split.where(F.col("split") == "train")
+    scaler = ScalerModel(scaler_fit(train))
+    model = ML.tree(6, 5).fit(ML.compact(ML.with_vector(scaler.transform(train))))
+    at = f"{ensure_checkpoint_dir(spark)}/scoring-{spark.sparkContext.applicationId}"
+    stages.write_scaler(spark, scaler, f"{at}/scaler")
+    stages.write_model(model, f"{at}/model")
+    return score_wafers(raw_wafers(spark, sf_dir), stages.read_scaler(spark, f"{at}/scaler"),
+                        stages.read_model(DecisionTreeClassificationModel, f"{at}/model"))

@@ -18,7 +18,7 @@ def clean_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_wafers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_maps(spark, sf_dir).drop("map")
+    return clean_maps(spark, sf_dir).withColumn("map_md5", C.map_digest()).drop("map")
 
 
 def q_bad_wafers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def q_bad_wafers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_median_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = C.filter_wafers(C.clean_labels(raw_wafers(spark, sf_dir)))
+    df = C.filter_wafers(C.clean_labels(raw_wafers(spark, sf_dir))).where(~C.is_ragged())
     return C.row_strings(C.apply_denoise(df), "waferMap")
 
 
@@ -98,20 +98,20 @@ def q_wafer_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Radon (E4, E5) ------------------------------------------------------------
 
 def q_radon_sinogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E4 + the per-bin profile: mean and population std over 72 angles."""
+    """The sinogram, one row per wafer, angle and bin that is not zero."""
     from pyspark.sql import functions as F
-    from ..operators.radon import bin_profile, projection, sinogram
-    prof = bin_profile(sinogram(clean_maps(spark, sf_dir), projection(spark)))
-    return prof.select("wafer_id", "bin", F.round("mean", R6).alias("mean"), F.round("std", R6).alias("std"))
+    from ..operators.radon import needed_bins, projection, sinogram
+    sino = sinogram(clean_maps(spark, sf_dir), projection(spark, needed_bins()))
+    return sino.select("wafer_id", "theta_idx", "bin", F.round("s", R6).alias("s"))
 
 
 def q_radon_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.radon import profile_features
-    return profile_features(clean_maps(spark, sf_dir), spark, decimals=R6)
+    return profile_features(clean_maps(spark, sf_dir), decimals=R6)
 
 
 # --- all 66 features (E6, E7, C9, C10, G1, F10) --------------------------------
 
 def q_wafer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.features import wafer_features
-    return wafer_features(spark, clean_maps(spark, sf_dir), decimals=R6)
+    return wafer_features(clean_maps(spark, sf_dir), decimals=R6)

@@ -1,17 +1,18 @@
-"""Feature-matrix sources for stages 3-5.
-
-``embedding_matrix`` reads the driver's ``embeddings`` table as a labelled
-feature matrix ``(id, label, features array<double>)``; ``read_feature_csv``
-and ``read_model_ready`` are the scans of the pipeline's own sinks (A3-A6)."""
+"""Feature-matrix sources for stages 3-5: the driver's ``embeddings`` table and
+wide feature tables, both as ``(id, label, features array<double>)``."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.constants import FEATURE_NAMES
 
+#: columns that may hold the class, the preferred one first
+CLASS_COLUMNS = ("label", "target")
+
 
 def embedding_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -19,30 +20,14 @@ def embedding_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform("embedding", lambda x: x.cast("double")).alias("features"))
 
 
-def features_to_matrix(wide: DataFrame, names: list[str] = FEATURE_NAMES, id_col: str = "wafer_id") -> DataFrame:
-    """C7 + C8: resolve the target column (``label`` else ``target``, else
-    KeyError) and pack the named feature columns into one array."""
-    if "label" in wide.columns:
-        target = "label"
-    elif "target" in wide.columns:
-        target = "target"
-    else:
-        raise KeyError("Dataset missing 'label' or 'target' column.")
-    return wide.select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("label"),
-                       F.array(*[F.col(n).cast("double") for n in names]).alias("features"))
-
-
-FEATURE_SCHEMA = T.StructType([T.StructField("wafer_id", T.LongType())]
-                              + [T.StructField(n, T.DoubleType()) for n in FEATURE_NAMES]
-                              + [T.StructField("target", T.IntegerType())])
-
-
-def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A3: the feature CSV with an explicit schema (no inference pass)."""
-    return spark.read.schema(FEATURE_SCHEMA).option("header", True).csv(path)
-
-
-def read_model_ready(spark: SparkSession, path: str, splits=("train_balanced", "test")) -> DataFrame:
-    """A4: model-ready parquet partitioned by ``split``; the filter prunes
-    partitions."""
-    return spark.read.parquet(path).where(F.col("split").isin(list(splits)))
+def features_to_matrix(wide: DataFrame, names: Sequence[str] = FEATURE_NAMES, id_col: str = "wafer_id",
+                       class_columns: Sequence[str] = CLASS_COLUMNS) -> DataFrame:
+    """C7 + C8: pack the named columns of a wide table into one array beside
+    its id and class; the class is the first of ``class_columns`` it has."""
+    has = set(wide.columns)
+    missing = [n for n in (id_col, *names) if n not in has]
+    present = [c for c in class_columns if c in has]
+    if missing or not present:
+        raise KeyError(f"feature table lacks {missing or ' and '.join(class_columns)}")
+    packed = F.array(*[F.col(n).cast("double") for n in names])
+    return wide.select(F.col(id_col).alias("id"), F.col(present[0]).cast("int").alias("label"), packed.alias("features"))

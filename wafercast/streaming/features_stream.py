@@ -1,7 +1,6 @@
 """Micro-batch feature extraction for newly arriving raw wafers.
 
-Cleaning and the narrow feature groups are per-row and stateless; the Radon
-aggregate is keyed by wafer and complete within a batch, so each micro-batch
+Cleaning and all feature groups are per-row and stateless, so each micro-batch
 runs the batch plan (:func:`wafercast.plans.features.wafer_features`) through
 ``foreachBatch``.  Every batch overwrites its own ``batch_id=N`` folder, so a
 replayed batch after a failure rewrites the same output instead of
@@ -22,7 +21,7 @@ def raw_wafer_stream(spark: SparkSession, folder: str, max_files: int = 16) -> D
 
 def start_feature_stream(spark: SparkSession, raw: DataFrame, sink: str, checkpoint: str, available_now: bool = False):
     def run(batch: DataFrame, batch_id: int) -> None:
-        feats = wafer_features(spark, clean_wafers(batch))
+        feats = wafer_features(clean_wafers(batch))
         feats.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     w = raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
