@@ -39,14 +39,14 @@ MIN_WORDS = 50
 ALPHA = 0.05
 DELTA = 0.05
 COST = 5.0
-#: Rule name -> (score over the counts, cutoffs from lenient to strict).
-#: A document is rejected when its score is above the cutoff.
+#: Rule name -> (count, count it is divided by, cutoffs from lenient to
+#: strict).  A document is rejected when its score is above the cutoff.
 RULES = {
-    "symbols": ("n_symbols / n_words", (2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)),
-    "dup_lines": ("n_dup_lines / n_lines", (0.8, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
-    "repeats": ("n_repeat_words / n_words", (0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05)),
-    "capitals": ("n_capitals / word_chars", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1)),
-    "marks": ("n_marks / word_chars", (0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08)),
+    "symbols": ("n_symbols", "n_words", (2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)),
+    "dup_lines": ("n_dup_lines", "n_lines", (0.8, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
+    "repeats": ("n_repeat_words", "n_words", (0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05)),
+    "capitals": ("n_capitals", "word_chars", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1)),
+    "marks": ("n_marks", "word_chars", (0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08)),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -81,32 +81,49 @@ def _repeat_words(words: Column) -> Column:
         F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(covered(hs)))
 
 
-def text_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """The counts of every row; with ``carry`` also the row itself, as ``_row``."""
-    own = [F.struct(*docs.columns).alias("_row")] if carry else []
-    row = ["_row"] if carry else []
-    t = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("none")).alias("stratum"),
-                    text_or_empty().alias("t"), *own)
-    words = F.array_remove(F.split("t", SPACE + "+"), "")
-    squeezed = F.regexp_replace("t", SPACE, "")
-    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    t = t.select("doc_id", "stratum", *row, squeezed.alias("s"),
-                 _bind(words, lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("r"))).alias("w"),
-                 _bind(lines, lambda x: F.struct(F.size(x).alias("n"),
-                                                 F.size(F.array_distinct(x)).alias("d"))).alias("l"))
-    chars = F.char_length("s")
-    without = lambda p: chars - F.char_length(F.regexp_replace("s", p, ""))
-    return t.select(
-        "doc_id", "stratum", *row, F.col("w.n").cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
-        without(r"[#*$%&|<>]").cast("long").alias("n_symbols"),
-        (F.col("l.n") - F.col("l.d")).cast("long").alias("n_dup_lines"),
-        F.col("w.r").cast("long").alias("n_repeat_words"), F.col("l.n").cast("long").alias("n_lines"),
-        without(r"[A-Z]").cast("long").alias("n_capitals"),
-        without(r"[!-/:-@\[-`{-~0-9]").cast("long").alias("n_marks"))
-
-
-def base_failed() -> Column:
-    return F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words")
+def count_struct(text: Column) -> Column:
+    """All counts of a text as one struct, its words and lines cut once."""
+    def of_text(t):
+        words = F.array_remove(F.split(t, SPACE + "+"), "")
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        return F.struct(
+            F.regexp_replace(t, SPACE, "").alias("s"),
+            _bind(words, lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("r"))).alias("w"),
+            _bind(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d"))).alias("l"))
+
+    def of_parts(p):
+        chars = F.char_length(p["s"])
+        without = lambda rx: chars - F.char_length(F.regexp_replace(p["s"], rx, ""))
+        counts = {"n_words": p["w"]["n"], "word_chars": chars, "n_symbols": without(r"[#*$%&|<>]"),
+                  "n_dup_lines": p["l"]["n"] - p["l"]["d"], "n_repeat_words": p["w"]["r"], "n_lines": p["l"]["n"],
+                  "n_capitals": without(r"[A-Z]"), "n_marks": without(r"[!-/:-@\[-`{-~0-9]")}
+        return F.struct(*[c.cast("long").alias(n) for n, c in counts.items()])
+
+    return _bind(_bind(text, of_text), of_parts)
+
+
+def _stratum() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit("none"))
+
+
+def text_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, stratum and the counts of every row."""
+    return docs.select("doc_id", _stratum().alias("stratum"), count_struct(text_or_empty()).alias("c")).select(
+        "doc_id", "stratum", "c.*")
+
+
+def base_failed(c=F.col) -> Column:
+    """Of the counts that ``c`` names."""
+    return (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > 50 * c("n_words"))
+
+
+def over_cutoff(c=F.col) -> Column:
+    """Is any score above its cutoff (columns ``_cut_<rule>``, null: off)?"""
+    over = F.lit(False)
+    for rule, (part, whole, _) in RULES.items():
+        score = F.when(c("n_words") > 0, c(part) / c(whole))
+        over = over | F.coalesce(score > F.col(f"_cut_{rule}"), F.lit(False))
+    return over
 
 
 def binomial_tail(n: str, x: str, p: Column) -> Column:
@@ -132,10 +149,10 @@ def thresholds(counts: DataFrame, labels: DataFrame) -> DataFrame:
     lab = (labels.where("quality is not null").groupBy("doc_id")
            .agg((F.min("quality") == 1).alias("good")))
     held = counts.where(~base_failed()).join(lab, "doc_id")
-    steps = range(max(len(cuts) for _, cuts in RULES.values()))
+    steps = range(max(len(cuts) for _, _, cuts in RULES.values()))
     first = [F.struct(F.lit(rule).alias("rule"), F.expr("case " + " ".join(
-        f"when {score} > {c} then {k}" for k, c in enumerate(cuts)) + " end").alias("k0"))
-        for rule, (score, cuts) in RULES.items()]   # cutoffs fall: above one means above all later ones
+        f"when {part} / {whole} > {c} then {k}" for k, c in enumerate(cuts)) + " end").alias("k0"))
+        for rule, (part, whole, cuts) in RULES.items()]   # cutoffs fall: above one means above all later ones
     over = held.select("stratum", "good", F.explode(F.array(*first)).alias("f")).select("stratum", "good", "f.*")
     cells = over.groupBy("stratum", "rule").agg(
         F.count(F.when(F.col("good"), 1)).alias("n_good"), F.count(F.when(~F.col("good"), 1)).alias("n_bad"),
@@ -145,7 +162,7 @@ def thresholds(counts: DataFrame, labels: DataFrame) -> DataFrame:
                      for k in steps])
     rule_risk = ALPHA / len(RULES)
     cutoff = F.expr("case " + " ".join(f"when rule = '{rule}' and k = {k} then {float(c)}D"
-                                       for rule, (_, cuts) in RULES.items() for k, c in enumerate(cuts)) + " end")
+                                       for rule, (_, _, cuts) in RULES.items() for k, c in enumerate(cuts)) + " end")
     # a table of one row for each language and rule, so its windows are small
     cells = (cells.withColumn("n_strata", F.size(F.collect_set("stratum").over(_all())))
              .select("stratum", "rule", "n_good", "n_bad", "n_strata", F.explode(rows).alias("c"))
@@ -167,30 +184,31 @@ def _all():
     return Window.partitionBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def judge(counts: DataFrame, cut: DataFrame) -> DataFrame:
-    """``counts`` with base_failed and kept; ``cut`` has a few rows a language."""
+def with_cutoffs(rows: DataFrame, cut: DataFrame, stratum: Column) -> DataFrame:
+    """Adds the stratum's ``_cut_<rule>`` columns; ``cut`` has a few rows a language."""
     wide = cut.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
-    wide = wide.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in RULES])
-    judged = counts.join(F.broadcast(wide), F.col("stratum") == F.col("_stratum"), "left")
-    over = F.lit(False)
-    for rule, (score, _) in RULES.items():
-        over = over | F.coalesce(F.expr(f"case when n_words > 0 then {score} > _cut_{rule} end"), F.lit(False))
-    return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~over)
+    wide = wide.select(F.col("stratum").alias("_cut_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in RULES])
+    return rows.join(F.broadcast(wide), stratum == F.col("_cut_stratum"), "left")
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, the counts, base_failed, kept."""
     counts = shared_table(text_counts(docs), "counts")
     cut = shared_table(thresholds(counts, labels), "cutoffs")
-    return judge(counts, cut).select("doc_id", *COUNTS, "base_failed", "kept")
+    judged = with_cutoffs(counts, cut, F.col("stratum"))
+    return judged.select("doc_id", *COUNTS, base_failed().alias("base_failed"),
+                         (~base_failed() & ~over_cutoff()).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged.  The texts are read a
-    second time rather than shuffled against the verdicts."""
+    second time rather than shuffled against the verdicts; the verdict is one
+    expression, so a text is counted once."""
     counts = shared_table(text_counts(docs), "counts")
     cut = shared_table(thresholds(counts, labels), "cutoffs")
-    return judge(text_counts(docs, carry=True), cut).where("kept").select("_row.*")
+    keep = _bind(count_struct(text_or_empty()),
+                 lambda c: ~base_failed(lambda n: c[n]) & ~over_cutoff(lambda n: c[n]))
+    return with_cutoffs(docs, cut, _stratum()).where(keep).select(*docs.columns)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,11 +219,11 @@ def _oracle() -> str:
     cells = "\nUNION ALL\n".join(
         f"SELECT stratum, '{rule}' AS rule, {k} AS k, {float(c)!r}::DOUBLE AS cutoff, "
         f"count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad, "
-        f"count(*) FILTER (good AND {score} > {c}) AS x, "
-        f"count(*) FILTER (NOT good AND {score} > {c}) AS hits FROM held GROUP BY stratum"
-        for rule, (score, cuts) in RULES.items() for k, c in enumerate(cuts))
+        f"count(*) FILTER (good AND {part} / {whole} > {c}) AS x, "
+        f"count(*) FILTER (NOT good AND {part} / {whole} > {c}) AS hits FROM held GROUP BY stratum"
+        for rule, (part, whole, cuts) in RULES.items() for k, c in enumerate(cuts))
     risk = ALPHA / len(RULES)
-    rejected = " OR ".join(f"coalesce({score} > c.{rule}, false)" for rule, (score, _) in RULES.items())
+    rejected = " OR ".join(f"coalesce({part} / {whole} > c.{rule}, false)" for rule, (part, whole, _) in RULES.items())
     wide = ", ".join(f"max(cutoff) FILTER (rule = '{r}') AS {r}" for r in RULES)
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(lang, 'none') AS stratum, coalesce(text, '') AS t FROM documents),
