@@ -1,14 +1,17 @@
 """Sampling, scaling, expansion, metrics and report tables."""
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wafercast.functions.constants import MODEL_ORDER
+from wafercast.operators import balance as B
 from wafercast.operators import expand as X
 from wafercast.operators import knn as K
 from wafercast.operators import leaderboard as LB
 from wafercast.operators import metrics as M
+from wafercast.operators import models as ML
 from wafercast.operators import sampling as S
 from wafercast.operators.moments import expanded_moments, width
 from wafercast.operators.scale import ScalerModel, scaler_fit
@@ -145,3 +148,34 @@ def test_leaderboard_tables(spark):
     assert [r["Model"] for r in gap] == ["SVM", "Logistic Regression", "XGBoost", "Gradient Boosting"]
     assert LB.overfit_trigger(lb).count() == 20
     assert LB.winner(lb).count() == 1
+
+
+def test_importance_of_linear_and_tree_models(spark):
+    rows = [(i, i % 2, [float(i % 2) * 5, float(i % 3), 1.0]) for i in range(60)]
+    df = ML.compact(ML.with_vector(spark.createDataFrame(rows, "id long, label int, features array<double>")))
+    names = ["a", "b", "c"]
+    for model in (ML.tree(3, 1).fit(df), ML.logistic(1.0, 60).fit(df)):
+        table = ML.importance_table(spark, model, names)
+        top = [(r["feature"], r["rank"]) for r in ML.top_importance(table, 2).collect()]
+        assert top[0] == ("a", 1) and len(top) == 2 and table.count() == 3
+    coef = np.abs(np.array(ML.coefficient_table(model))).mean(axis=0)
+    got = {r["feature"]: r["importance"] for r in table.collect()}
+    assert got["a"] == pytest.approx(coef[0]) and got["c"] == pytest.approx(coef[2])
+
+
+def test_jitter_moves_synthetic_rows_only(spark):
+    rows = [(i, 0, i % 2 == 0, [1.0, 2.0, 3.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, label int, is_synthetic boolean, features array<double>")
+    got = {r["id"]: r for r in B.jitter(df, 0.1).collect()}
+    assert all(got[i]["features"] == [1.0, 2.0, 3.0] for i in range(1, 200, 2))
+    moved = np.array([np.array(got[i]["features"]) - [1, 2, 3] for i in range(0, 200, 2)])
+    assert (moved != 0).all() and abs(moved.mean()) < 0.03 and moved.std() == pytest.approx(0.1, rel=0.2)
+    assert got == {r["id"]: r for r in B.jitter(df, 0.1).collect()}
+
+
+def test_balance_falls_back_when_a_class_is_too_small(spark):
+    rows = [(i, i // 10, [float(i), 1.0], 10, i % 10 + 1) for i in range(20)] + [(90 + i, 2, [0.5, float(i)], 2, i + 1) for i in range(2)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>, n_train long, trk int")
+    assert B.class_sizes(df) == [2, 10, 10] and B.median_size([2, 10, 10]) == 10
+    out = B.balance(df, 10)
+    assert out.count() == 22 and out.where("is_synthetic").count() == 0
