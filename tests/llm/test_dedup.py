@@ -171,7 +171,7 @@ def test_suffix_sort_is_lexicographic():
     sfx = suffix_dedup.Suffixes(data)
     at = rng.integers(0, 2900, 500)
     group = np.sort(rng.integers(0, 5, 500))
-    raw = sfx.data.tobytes()
+    raw = data.tobytes()
     order = sfx.sort(at, group)
     keys = [(int(group[i]), raw[at[i]:at[i] + 50]) for i in order]
     assert keys == sorted(keys)
@@ -185,6 +185,7 @@ def test_hash_collisions_are_caught(monkeypatch):
     data = np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8)
     sfx = suffix_dedup.Suffixes(data)
     monkeypatch.setattr(sfx, "part", lambda at, length: np.zeros(len(at), np.uint64))
+    assert (sfx.part(np.array([0, 60]), 50) == 0).all()
     order, run = sfx.equal_runs(np.array([0, 60, 1]), np.zeros(3, np.int64))
     assert len(set(run.tolist())) == 2
 
