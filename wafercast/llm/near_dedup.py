@@ -57,6 +57,7 @@ COORDS = BANDS * ROWS
 AGREE = 74
 BLOCK = 512
 WORD_CACHE = 400_000
+MAX_SLOTS = 1 << 26
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _words: dict[bytes, int] = {}
@@ -179,10 +180,24 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 # ---- exact checks
 
+def listed_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``ids`` lists, and a few more, without moving
+    them: a bit table of the listed doc_ids is broadcast, at most MAX_SLOTS / 64
+    words of it however long the list."""
+    n = ids.count()
+    m = min(MAX_SLOTS, 1 << max(12, (16 * n).bit_length()))
+    slot = F.pmod(F.xxhash64("doc_id", F.lit("listed")), F.lit(m))
+    bits = (ids.select(F.col("doc").alias("doc_id")).select(slot.alias("s"))
+            .select(F.expr("s div 64").alias("_x_word"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
+            .groupBy("_x_word").agg(F.bit_or("bit").alias("_x_bits")))
+    marked = docs.withColumn("_x_slot", slot).join(
+        F.broadcast(bits), F.expr("_x_slot div 64") == F.col("_x_word"))
+    return marked.where("(shiftright(_x_bits, cast(_x_slot % 64 as int)) & 1L) = 1L").select(*docs.columns)
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc, shingles) of the listed documents."""
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        ids.select(F.col("doc").alias("doc_id")).distinct(), "doc_id")
+    """(doc, shingles) of the listed documents, and of a few others."""
+    texts = listed_only(docs.select("doc_id", F.col("text").cast("binary").alias("text")), ids)
 
     def run(batches):
         for batch in batches:
@@ -203,7 +218,7 @@ def star_links(reps: DataFrame, members: DataFrame, docs: DataFrame, k: int, thr
     likely = (pairs.join(side("a"), "a").join(side("b"), "b")
               .where(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)"))
     likely = shared_table(sketch_filter(likely), "pairs")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("doc"))
+    ids = likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     sets = shared_table(shingle_sets(docs, ids, k), "sets")
     return shared_table(verify(likely, sets, threshold), "links")
 
@@ -350,7 +365,7 @@ def rest_links(reps: DataFrame, members: DataFrame, labels: DataFrame, docs: Dat
     schema = rows.schema
     flagged = shared_table(rows.repartition(n_parts, *KEY).sortWithinPartitions(*KEY)
                            .mapInArrow(_flag(threshold), schema), "flagged")
-    sets = shingle_sets(docs, flagged.select("doc"), k)
+    sets = shared_table(shingle_sets(docs, flagged.select("doc").distinct(), k), "sets")
     kind = schema["doc"].dataType.simpleString()
     arrow = pa.schema([("a", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()),
                        ("b", pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string())])
