@@ -54,3 +54,22 @@ def hash_rank(df: DataFrame, group: str, order: list[Column], out: str, buckets:
     return (ranked.join(F.broadcast(offsets), [group, "_hr_b"])
             .withColumn(out, (F.col("_hr_off") + F.col("_hr_rn") - 1).cast("long"))
             .drop("_hr_key", "_hr_b", "_hr_off", "_hr_rn"))
+
+
+MAX_SLOTS = 1 << 26
+
+
+def mark_listed(rows: DataFrame, key: list[str], listed: DataFrame, out: str) -> DataFrame:
+    """Adds ``out``: true for all rows whose key ``listed`` has, and for a few
+    others.  Nothing moves: a bit table of the listed keys' hashes is broadcast,
+    at most MAX_SLOTS / 64 words of it however long the list."""
+    n = listed.count()
+    m = min(MAX_SLOTS, 1 << max(12, (16 * n).bit_length()))
+    slot = F.pmod(F.xxhash64(*key, F.lit("listed")), F.lit(m))
+    bits = (listed.select(slot.alias("s"))
+            .select(F.expr("s div 64").alias("_x_word"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
+            .groupBy("_x_word").agg(F.bit_or("bit").alias("_x_bits")))
+    marked = rows.withColumn("_x_slot", slot).join(
+        F.broadcast(bits), F.expr("_x_slot div 64") == F.col("_x_word"), "left")
+    hit = F.expr("coalesce(shiftright(_x_bits, cast(_x_slot % 64 as int)) & 1L, 0L) = 1L")
+    return marked.select(*rows.columns, hit.alias(out))

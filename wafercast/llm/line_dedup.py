@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_table, shuffle_partitions
+from .common import mark_listed, read_table, shared_table, shuffle_partitions
 
 MIN_RUN = 4
 
@@ -91,7 +91,11 @@ def remove_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     lines = line_table(rows)
     runs = repeated_runs(repeated_starts(lines, min_run), min_run)
     cuts = shared_table(runs.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "runs")
-    joined = rows.join(cuts, "row", "left")
+    # only rows with runs to delete move; all others pass straight through
+    marked = mark_listed(rows, ["row"], cuts.select("row"), "has_runs")
+    moved = marked.where("has_runs").select("row", "doc_id", "text").join(cuts, "row", "left")
+    still = marked.where("not has_runs").select("row", "doc_id", "text", F.lit(None).cast(cuts.schema["runs"].dataType).alias("runs"))
+    joined = still.unionByName(moved)
     pieces = F.split("text", "\n", -1)
     inside = lambda i: F.exists("runs", lambda r: (r["first"] <= i) & (i <= r["last"]))
     kept = F.when(F.col("runs").isNull(), pieces).otherwise(F.filter(pieces, lambda x, i: ~inside(i)))
