@@ -52,6 +52,17 @@ def test_counts_odd_texts(tok):
     assert sum(reader.values(long.encode())) == len(ids(tok, long))
 
 
+def test_counts_latin_capitals(tok):
+    """Capitals below U+0250 whose small letter lies above it are letters too."""
+    reader = token_counts._reader(token_counts.vocabulary_path())
+    ids_of = packing._reader(token_counts.vocabulary_path())
+    for c in map(chr, range(0x80, 0x250)):
+        for text in (f"ab{c}cd", c, f"1{c}{c}'s"):
+            want = ids(tok, text)
+            assert sum(reader.values(text.encode())) == len(want), repr(text)
+            assert b"".join(ids_of.values(text.encode())) == np.array(want, "<u4").tobytes(), repr(text)
+
+
 def check_packing(pdf, docs, tok):
     """Pieces are the documents' ids, sequences are gapless; number of sequences."""
     want = {}

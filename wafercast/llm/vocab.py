@@ -71,8 +71,10 @@ class ChunkReader:
 
     def _chunk(self, chunk: bytes):
         text = chunk.decode("utf-8", "replace")
-        if _LATIN(text) and self.mark not in chunk:
-            words = _WORDS.findall(text.lower())
+        # some capitals below U+0250 have their small letter above it
+        lower = text.lower()
+        if _LATIN(lower) and self.mark not in chunk:
+            words = _WORDS.findall(lower)
             got = self.total([self._word(w) for w in words])
         else:
             values = []
