@@ -137,6 +137,11 @@ def test_mixing_edge_cases(edge, empty):
     assert mixing.select_mix(empty).count() == 0
 
 
+def test_a_mix_of_all_tokens_keeps_null_ids(edge):
+    kept = mixing.keep_mix(edge, mixing.Mix(budget_permille=1000, max_epochs=1)).collect()
+    assert sorted(r.doc_id or -1 for r in kept) == sorted(r[0] or -1 for r in ROWS if (r[1] or "").split())
+
+
 # ---- sharding
 
 def test_shards(spark, small):

@@ -137,11 +137,12 @@ def select_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def keep_mix(docs: DataFrame, mix: Mix) -> DataFrame:
-    """The rows of ``docs`` whose doc_id a mix without repeats selects."""
+    """The rows of ``docs`` whose doc_id a mix without repeats selects; rows
+    with a null doc_id are selected together, like rows that share an id."""
     if mix.max_epochs != 1:
         raise ValueError("rows are kept or not: max_epochs must be 1")
     chosen = select_mix(docs, mix).select(F.col("doc_id").alias("_x_id")).distinct()
-    return docs.join(chosen, docs["doc_id"] == F.col("_x_id"), "left_semi")
+    return docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_x_id")), "left_semi")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
