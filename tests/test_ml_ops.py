@@ -115,6 +115,17 @@ def test_knn_spreads_one_block(spark):
     assert len(salts) == n and max(r["count"] for r in salts) < 2 * 400 / n
 
 
+def test_class_neighbours_in_blocks_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 7 > 0) + int(i % 7 > 4), rng.integers(0, 6, 3).astype(float).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, label int, features array<double>").repartition(3)
+    want = {i: [o for _, o in sorted((sum((p - q) ** 2 for p, q in zip(f, g)), o)
+                                     for o, m, g in rows if m == c and o != i)[:3]] for i, c, f in rows}
+    for block_rows in (16, 4096):
+        got = B.class_neighbours(df, 3, block_rows)
+        assert {r["id"]: [x["id"] for x in r["nn"]] for r in got.collect()} == want
+
+
 def test_expansion_size_for_66(spark):
     names = [f"f{i}" for i in range(66)]
     assert X.expansion_dim(spark, names).count() == 66 + 4 * 2145 == 8646

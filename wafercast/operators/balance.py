@@ -8,10 +8,11 @@
 * if any class to oversample has fewer than k + 1 rows, the whole step falls
   back to the imbalanced rows, as the reference does.
 
-Neighbour search only runs inside classes that are *below* ``target``, so a
-class's candidate pool is bounded by ``target`` rows.  Each row's distances
-are computed against that pool held in one array (bound to a lambda
-variable) and only its 3 nearest are kept: no pair rows are emitted."""
+Neighbour search only runs inside classes that are *below* ``target``.  A
+class's rows are dealt into blocks of about :data:`knn.BLOCK_ROWS`; each row
+meets its class's blocks, keeps its k nearest of each and merges them
+(:func:`knn.neighbours`), so no array grows with the class and no pair rows
+are emitted."""
 
 from __future__ import annotations
 
@@ -20,20 +21,14 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import SMOTE_K, TARGET_PER_CLASS
 from ..functions.hashing import uniform
+from . import knn as K
 
 
-def _dist2(a: str, b: str) -> str:
-    return f"aggregate(zip_with({a}, {b}, (p, q) -> (p - q) * (p - q)), 0D, (s, v) -> s + v)"
-
-
-def class_neighbours(rows: DataFrame, k: int = SMOTE_K) -> DataFrame:
+def class_neighbours(rows: DataFrame, k: int = SMOTE_K, block_rows: int = K.BLOCK_ROWS) -> DataFrame:
     """For each row: ``nn`` = its k nearest other rows of the same class
-    (by squared distance, then id).  ``rows`` must hold small classes only."""
-    pool = rows.groupBy("label").agg(F.collect_list(F.struct("id", "features")).alias("pool"))
-    nn = (f"element_at(transform(array(named_struct('p', pool, 'f', features, 'i', id)), t -> "
-          f"slice(array_sort(transform(filter(t.p, o -> o.id <> t.i), o -> "
-          f"named_struct('d', {_dist2('o.features', 't.f')}, 'id', o.id))), 1, {k})), 1)")
-    return rows.join(pool, "label").withColumn("nn", F.expr(nn)).drop("pool")
+    (by squared distance, then id)."""
+    nn = K.neighbours(rows, rows, k, block_rows, exclude_self=True, same_label=True)
+    return rows.join(nn.withColumnRenamed("qid", "id"), "id")
 
 
 def smote(train: DataFrame, target: int = TARGET_PER_CLASS, k: int = SMOTE_K) -> DataFrame:

@@ -29,23 +29,27 @@ def _dist2(a: str, b: str) -> str:
 
 
 def neighbours(train: DataFrame, query: DataFrame, k: int, block_rows: int = BLOCK_ROWS,
-               exclude_self: bool = False) -> DataFrame:
-    """(qid, nn array<struct<d, id, label>>) with the k nearest train rows."""
-    n = train.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    salts = max(1, math.ceil(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")) / blocks))
+               exclude_self: bool = False, same_label: bool = False) -> DataFrame:
+    """(qid, nn array<struct<d, id, label>>) with the k nearest train rows; with
+    ``same_label`` blocks are dealt inside labels and a query row only meets its own's."""
+    keys = ["label"] if same_label else []
+    per = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int").alias("blocks")
+    counts = train.groupBy(*keys).agg(per)     # a row a label, or one row
+    total = max(1, counts.agg(F.sum("blocks")).first()[0] or 0)
+    dealt = (lambda df: df.join(F.broadcast(counts), keys)) if keys else (lambda df: df.withColumn("blocks", F.lit(total)))
+    salts = max(1, math.ceil(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")) / total))
     salt_list = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    tb = (train.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-          .groupBy("block").agg(F.collect_list(F.struct("id", "label", "features")).alias("pool"))
-          .select("block", "pool", salt_list.alias("salt")))
-    q = query.select(F.col("id").alias("qid"), F.col("features").alias("qf"),
-                     F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(salts)).cast("int").alias("salt"),
-                     F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    tb = (dealt(train).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+          .groupBy(*keys, "block").agg(F.collect_list(F.struct("id", "label", "features")).alias("pool"))
+          .select(*keys, "block", "pool", salt_list.alias("salt")))
+    q = dealt(query).select(*keys, F.col("id").alias("qid"), F.col("features").alias("qf"),
+                            F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(salts)).cast("int").alias("salt"),
+                            F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
     keep = "filter(t.p, o -> o.id <> t.i)" if exclude_self else "t.p"
     local = (f"element_at(transform(array(named_struct('p', pool, 'f', qf, 'i', qid)), t -> "
              f"slice(array_sort(transform({keep}, o -> named_struct('d', {_dist2('o.features', 't.f')}, "
              f"'id', o.id, 'label', o.label))), 1, {k})), 1)")
-    cand = q.join(tb, ["block", "salt"]).select("qid", F.expr(local).alias("nn"))
+    cand = q.join(tb, [*keys, "block", "salt"]).select("qid", F.expr(local).alias("nn"))
     return cand.groupBy("qid").agg(F.expr(f"slice(array_sort(flatten(collect_list(nn))), 1, {k})").alias("nn"))
 
 
