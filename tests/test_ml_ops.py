@@ -15,6 +15,7 @@ from wafercast.operators import models as ML
 from wafercast.operators import sampling as S
 from wafercast.operators.moments import expanded_moments, width
 from wafercast.operators.scale import ScalerModel, scaler_fit
+from wafercast.plans import model_queries as MD
 from wafercast.sources.features import embedding_matrix
 
 from .conftest import SMALL
@@ -174,6 +175,28 @@ def test_importance_of_linear_and_tree_models(spark):
     assert got["a"] == pytest.approx(coef[0]) and got["c"] == pytest.approx(coef[2])
 
 
+def test_rfe_query_starts_from_1000_and_drops_50(spark, monkeypatch):
+    seen = {}
+
+    def survivors(train, k):
+        seen["start"] = k
+        return list(range(k)), train
+
+    monkeypatch.setattr(MD, "_base", lambda *a: (None, None))
+    monkeypatch.setattr(MD, "_survivors", survivors)
+    monkeypatch.setattr(ML, "rfe", lambda rows, n, step: seen.update(n=n, step=step) or list(range(n)))
+    assert MD.q_rfe_select(spark, SMALL).count() == 25 and seen == {"start": 1000, "n": 25, "step": 50}
+
+
+def test_rfe_fits_one_model_a_class(spark, monkeypatch):
+    fits = []
+    one = ML.OneVsRest
+    monkeypatch.setattr(ML, "OneVsRest", lambda **a: fits.append(a) or one(**a))
+    rows = [(i, i % 3, [float(i % 3), float(i % 5), float(i % 3 == 1) * 4, 1.0, float(i % 7), float(i % 2)]) for i in range(90)]
+    df = ML.compact(spark.createDataFrame(rows, "id long, label int, features array<double>"))
+    assert len(ML.rfe(df, 2, 2)) == 2 and len(fits) == 2
+
+
 def test_jitter_moves_synthetic_rows_only(spark):
     rows = [(i, 0, i % 2 == 0, [1.0, 2.0, 3.0]) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, label int, is_synthetic boolean, features array<double>")

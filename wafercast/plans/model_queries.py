@@ -10,7 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import N_RF, N_RFE
+from ..functions.constants import N_RF, N_RFE, RFE_STEP
 from ..operators import anova as A
 from ..operators import leaderboard as LB
 from ..operators import models as ML
@@ -27,10 +27,6 @@ from .report_queries import _chosen
 from .scoring import score_wafers
 from .wafer_queries import clean_maps
 
-#: the recursive elimination starts from so many ANOVA survivors and drops so
-#: many a round (the reference: 1,000 and 50; parameters of the job)
-RFE_START, RFE_DROP = 100, 15
-
 
 def _base(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     mr = model_ready(spark, sf_dir)
@@ -98,9 +94,9 @@ def q_rf_importance(spark, sf_dir):
 
 
 def q_rfe_select(spark, sf_dir):
-    """L2: recursive elimination over the best ANOVA survivors, several rounds."""
-    ids, rows = _survivors(_base(spark, sf_dir)[0], RFE_START)
-    return spark.createDataFrame([(int(ids[i]),) for i in ML.rfe(rows, N_RFE, RFE_DROP)], "feature_id int")
+    """L2: recursive elimination over the 1,000 best ANOVA survivors, 50 a round."""
+    ids, rows = _survivors(_base(spark, sf_dir)[0], A.N_PREFILTER)
+    return spark.createDataFrame([(int(ids[i]),) for i in ML.rfe(rows, N_RFE, RFE_STEP)], "feature_id int")
 
 
 def q_score_wafers(spark, sf_dir):
