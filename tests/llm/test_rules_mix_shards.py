@@ -19,7 +19,8 @@ from .test_dedup import brute_components
 from .test_tokens_packing import check_packing, tok  # noqa: F401
 
 
-@pytest.mark.parametrize("key", ["op4_exact_dedup", "op6_mixing", "op7_line_runs", "op9_quality_rules"])
+@pytest.mark.parametrize("key", ["op4_exact_dedup", "op6_mixing", "op7_line_runs", "op9_quality_rules",
+                                 "op13_decontamination"])
 def test_matches_sql(spark, key):
     con = duckdb.connect()
     for t in TABLES:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality, sharding, suffix_dedup, token_counts
+from . import (decontamination, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality, sharding,
+               spelling, suffix_dedup, token_counts, whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": language_id.op8_language_id,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_kd_sharding": sharding.op10_kd_sharding,
+        "op11_whitening": whitening.op11_whitening,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_decontamination": decontamination.op13_decontamination,
     }
 
 
@@ -30,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.ORACLE,
         "op7_line_runs": line_dedup.ORACLE,
         "op9_quality_rules": quality.ORACLE,
+        "op13_decontamination": decontamination.ORACLE,
     }
