@@ -10,10 +10,12 @@ from wafercast.operators import balance as B
 from wafercast.operators import expand as X
 from wafercast.operators import knn as K
 from wafercast.operators import leaderboard as LB
+from wafercast.operators import linear as L
 from wafercast.operators import metrics as M
 from wafercast.operators import models as ML
 from wafercast.operators import sampling as S
 from wafercast.operators.moments import expanded_moments, width
+from wafercast.operators.pivots import pruned_neighbours
 from wafercast.operators.scale import ScalerModel, scaler_fit
 from wafercast.plans import model_queries as MD
 from wafercast.sources.features import embedding_matrix
@@ -190,11 +192,51 @@ def test_rfe_query_starts_from_1000_and_drops_50(spark, monkeypatch):
 
 def test_rfe_fits_one_model_a_class(spark, monkeypatch):
     fits = []
-    one = ML.OneVsRest
-    monkeypatch.setattr(ML, "OneVsRest", lambda **a: fits.append(a) or one(**a))
+    fit = L.fit_joint
+    monkeypatch.setattr(L, "fit_joint", lambda rows, problems, *a, **k: fits.append([p.cls for p in problems]) or fit(rows, problems, *a, **k))
     rows = [(i, i % 3, [float(i % 3), float(i % 5), float(i % 3 == 1) * 4, 1.0, float(i % 7), float(i % 2)]) for i in range(90)]
     df = ML.compact(spark.createDataFrame(rows, "id long, label int, features array<double>"))
-    assert len(ML.rfe(df, 2, 2)) == 2 and len(fits) == 2
+    assert len(ML.rfe(df, 2, 2)) == 2 and fits == [[0, 1, 2]] * 2
+
+
+def test_rows_without_features_leave_the_moments(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0, 2.0, 4.0]), (4, [3.0, None, 5.0])]
+    df = spark.createDataFrame(rows, "id long, features array<double>").coalesce(1)
+    got = {r.feature_id: r for r in expanded_moments(df).collect()}
+    assert len(got) == 15 and [got[i].n for i in range(3)] == [3, 2, 3] and got[1].n_null == 1
+    assert got[0].mean == pytest.approx(5 / 3) and got[1].mean == 2.0 and got[2].mean == 4.0
+    ragged = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "features array<double>").coalesce(1)
+    with pytest.raises(Exception, match="between 1 and 2 features"):
+        expanded_moments(ragged).collect()
+
+
+@pytest.mark.parametrize("same_label", [True, False])
+def test_pruned_neighbours_equal_brute_force(spark, same_label):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(24, 6)) * 20
+    x = centres[rng.integers(0, 24, 1500)] + rng.normal(size=(1500, 6))
+    x[:400] = x[0]                      # one point holds more than a quarter of the rows
+    x = np.round(x, 3)                  # ties
+    y = rng.integers(0, 3, 1500)
+    df = spark.createDataFrame([(i, int(y[i]), x[i].tolist()) for i in range(1500)], "id long, label int, features array<double>").repartition(3)
+    query = df.where("id % 5 = 0")
+    block = 50
+    got = {r.qid: [n.id for n in r.nn] for r in K.neighbours(df, query, 4, block, exclude_self=True, same_label=same_label).collect()}
+    assert len(got) == 300
+    for q in range(0, 1500, 5):
+        pool = [i for i in range(1500) if i != q and (not same_label or y[i] == y[q])]
+        d = ((x[pool] - x[q]) ** 2).sum(1)
+        want = [pool[j] for j in np.lexsort((pool, np.round(d, 9)))[:4]]
+        dist = lambda ids: [round(((x[i] - x[q]) ** 2).sum(), 6) for i in ids]
+        assert dist(got[q]) == dist(want)
+        if dist(want)[-1] == 0:
+            assert got[q] == want
+    if not same_label:
+        local = ("element_at(transform(array(named_struct('p', pool, 'f', qf)), t -> slice(array_sort(transform(t.p, o -> named_struct('d', "
+                 f"{K._dist2('o.features', 't.f')}, 'id', o.id, 'label', o.label))), 1, 4)), 1)")
+        nn, met = pruned_neighbours(df, query, 4, block, 1500, local=local)
+        blocks = 1500 / block
+        assert nn.count() == 300 and met.agg(F.avg("met")).first()[0] < 0.4 * blocks
 
 
 def test_jitter_moves_synthetic_rows_only(spark):

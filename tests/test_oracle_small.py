@@ -10,7 +10,7 @@ from tools.check_oracle import TABLES, digest
 from .conftest import SMALL
 
 FAST = ["clean_wafers", "median_filter", "resize_nearest", "zone_density", "wafer_stats", "regions",
-        "region_summary", "region_perimeter", "region_axes", "region_solidity", "radon_profile",
+        "region_summary", "region_perimeter", "region_axes", "region_solidity", "radon_profile", "radon_sinogram",
         "class_histogram", "stratified_split", "kfold", "scaler_fit", "undersample", "smote",
         "knn_predict", "macro_metrics", "auc_ovr", "roc_points", "confusion_matrix", "balanced_train",
         "expand_all", "anova_f", "anova_topk", "bad_wafers", "wafer_features"]

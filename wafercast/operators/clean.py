@@ -60,15 +60,26 @@ def filter_wafers(df: DataFrame) -> DataFrame:
     )
 
 
-def is_ragged(map_col: str = "waferMap") -> F.Column:
-    """Not a 2-D rectangle: no rows, or rows of different lengths."""
-    # one reference to the map, so a generated map is never inlined twice
-    return F.expr(f"coalesce(size(array_distinct(transform({map_col}, row -> size(row)))), 0) <> 1")
+#: Not a 2-D rectangle: no map, no rows, or rows of different lengths.
+RAGGED_MAP = "coalesce(size(array_distinct(transform({}, row -> size(row)))), 0) <> 1"
+
+
+def _maps_where(df: DataFrame, test: str, map_col: str) -> DataFrame:
+    # a generator, not a filter: a filter would sink through the projection that makes the map,
+    # below the spreading of the rows, and make every map twice
+    others = [c for c in df.columns if c != map_col]
+    kept = F.expr(f"filter(array(struct({map_col})), t -> {test})")
+    return df.select(*others, F.inline(kept)).select(*df.columns)
+
+
+def valid_maps(df: DataFrame, map_col: str = "waferMap") -> DataFrame:
+    """The rows whose map is a 2-D rectangle."""
+    return _maps_where(df, f"NOT ({RAGGED_MAP.format(f't.{map_col}')})", map_col)
 
 
 def ragged_wafers(raw: DataFrame, map_col: str = "waferMap") -> DataFrame:
     """The maps that :func:`clean_wafers` leaves out, for quarantine."""
-    return raw.where(is_ragged(map_col))
+    return _maps_where(raw, RAGGED_MAP.format(f"t.{map_col}"), map_col)
 
 
 # ---------------------------------------------------------------------------
@@ -133,7 +144,7 @@ def clean_wafers(raw: DataFrame) -> DataFrame:
     """Stage 1 end to end: labels -> filters and validation -> denoise at the
     original size -> encode -> resize to 64x64.  Output ``wafer_id, failure_type,
     train_test_label, label, h, w, map`` with ``map`` a 64x64 nested array."""
-    df = filter_wafers(clean_labels(raw)).where(~is_ragged())
+    df = valid_maps(filter_wafers(clean_labels(raw)))
     df = apply_denoise(df)
     df = encode_labels(df)
     df = apply_resize(df)

@@ -12,6 +12,8 @@ after selection only the chosen features are computed (``project``)."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,3 +79,19 @@ def project(df: DataFrame, chosen: list[tuple[int, str, int, int]], features: st
         a = F.element_at(features, i + 1)
         cols.append(a if op == "ID" else _op_value(op, a, F.element_at(features, j + 1)))
     return df.withColumn(features, F.array(*cols))
+
+
+def chosen_features(ids: list[int], d: int) -> list[tuple[int, str, int, int]]:
+    """[(feature_id, op, i, j)] of expanded features, for :func:`project`."""
+    first = [0]     # number of pairs before those that start with i
+    for i in range(d - 1):
+        first.append(first[-1] + d - 1 - i)
+    out = []
+    for f in ids:
+        if f < d:
+            out.append((f, "ID", f, -1))
+            continue
+        p, o = divmod(f - d, len(OPS))
+        i = bisect_right(first, p) - 1
+        out.append((f, OPS[o], i, p - first[i] + i + 1))
+    return out

@@ -8,7 +8,9 @@ tasks and no block is a hot key, even when there is only one.  A query row is
 replicated B times and a block once per salt, never rows by rows.  Each query
 row keeps its k nearest inside each block with one array sort, and the
 per-block candidates (B x k per query row) are merged by a final group on the
-query id.  No (query, train) pair rows are ever emitted.
+query id.  No (query, train) pair rows are ever emitted.  That work is rows x
+blocks, so from ``PRUNE_FROM`` blocks on a row only meets the blocks that the
+triangle inequality cannot rule out (:mod:`.pivots`); the neighbours are the same.
 
 Prediction is the majority vote of the k neighbours (ties to the smaller
 label); ``share`` holds each class's vote fraction (the probability used for
@@ -21,7 +23,11 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pivots import pruned_neighbours
+
 BLOCK_ROWS = 4096
+#: From this many blocks on, pivots and the triangle inequality choose the blocks to meet.
+PRUNE_FROM = 8
 
 
 def _dist2(a: str, b: str) -> str:
@@ -33,6 +39,13 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, block_rows: int = BLO
     """(qid, nn array<struct<d, id, label>>) with the k nearest train rows; with
     ``same_label`` blocks are dealt inside labels and a query row only meets its own's."""
     keys = ["label"] if same_label else []
+    keep = "filter(t.p, o -> o.id <> t.i)" if exclude_self else "t.p"
+    local = (f"element_at(transform(array(named_struct('p', pool, 'f', qf, 'i', qid)), t -> "
+             f"slice(array_sort(transform({keep}, o -> named_struct('d', {_dist2('o.features', 't.f')}, "
+             f"'id', o.id, 'label', o.label))), 1, {k})), 1)")
+    rows = train.count()
+    if rows > PRUNE_FROM * block_rows:
+        return pruned_neighbours(train, query, k, block_rows, rows, exclude_self, same_label, local)[0]
     per = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int").alias("blocks")
     counts = train.groupBy(*keys).agg(per)     # a row a label, or one row
     total = max(1, counts.agg(F.sum("blocks")).first()[0] or 0)
@@ -45,10 +58,6 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, block_rows: int = BLO
     q = dealt(query).select(*keys, F.col("id").alias("qid"), F.col("features").alias("qf"),
                             F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(salts)).cast("int").alias("salt"),
                             F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
-    keep = "filter(t.p, o -> o.id <> t.i)" if exclude_self else "t.p"
-    local = (f"element_at(transform(array(named_struct('p', pool, 'f', qf, 'i', qid)), t -> "
-             f"slice(array_sort(transform({keep}, o -> named_struct('d', {_dist2('o.features', 't.f')}, "
-             f"'id', o.id, 'label', o.label))), 1, {k})), 1)")
     cand = q.join(tb, [*keys, "block", "salt"]).select("qid", F.expr(local).alias("nn"))
     return cand.groupBy("qid").agg(F.expr(f"slice(array_sort(flatten(collect_list(nn))), 1, {k})").alias("nn"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +52,18 @@ def _expand(x: np.ndarray, ops: list[str], include_original: bool) -> tuple[np.n
 def expanded_moments(df: DataFrame, ops: list[str] | None = None, include_original: bool = True,
                      group: str | None = None) -> DataFrame:
     """(grp, feature_id, n, n_null, mean, m2) of every expanded feature over
-    the rows ``(features, group)``; ``grp`` is 0 without a group."""
+    the rows ``(features, group)``; ``grp`` is 0 without a group.  A row without
+    features is left out; a null value inside is undefined, and so is what is
+    made of it; rows of different lengths are an error."""
     ops = OPS if ops is None else ops
-    rows = df.select((F.col(group) if group else F.lit(0)).cast("int").alias("grp"), "features")
+    rows = df.where(F.col("features").isNotNull()).select((F.col(group) if group else F.lit(0)).cast("int").alias("grp"), "features")
 
     def partial(batches):
         for batch in batches:
             grp = batch.column("grp").to_numpy()
+            lengths = set(pc.list_value_length(batch.column("features")).to_pylist())
+            if len(lengths) > 1:
+                raise ValueError(f"rows have between {min(lengths)} and {max(lengths)} features")
             flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
             x = flat.reshape(len(grp), -1) if len(grp) else np.zeros((0, 0))
             for g in np.unique(grp):

@@ -26,7 +26,7 @@ def q_bad_wafers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_median_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = C.filter_wafers(C.clean_labels(raw_wafers(spark, sf_dir))).where(~C.is_ragged())
+    df = C.valid_maps(C.filter_wafers(C.clean_labels(raw_wafers(spark, sf_dir))))
     return C.row_strings(C.apply_denoise(df), "waferMap")
 
 
