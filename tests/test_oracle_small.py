@@ -13,7 +13,8 @@ FAST = ["clean_wafers", "median_filter", "resize_nearest", "zone_density", "wafe
         "region_summary", "region_perimeter", "region_axes", "region_solidity", "radon_profile", "radon_sinogram",
         "class_histogram", "stratified_split", "kfold", "scaler_fit", "undersample", "smote",
         "knn_predict", "macro_metrics", "auc_ovr", "roc_points", "confusion_matrix", "balanced_train",
-        "expand_all", "anova_f", "anova_topk", "bad_wafers", "wafer_features"]
+        "expand_all", "anova_f", "anova_topk", "bad_wafers", "wafer_features", "expand_single",
+        "track_by_name", "expanded_stage", "gap_table_file"]
 
 
 @pytest.fixture(scope="module")

@@ -95,3 +95,16 @@ def chosen_features(ids: list[int], d: int) -> list[tuple[int, str, int, int]]:
         i = bisect_right(first, p) - 1
         out.append((f, OPS[o], i, p - first[i] + i + 1))
     return out
+
+
+def project_names(df: DataFrame, names: DataFrame, base: list[str], features: str = "features") -> DataFrame:
+    """The features that the table ``names`` (name) lists, in the order of
+    the expansion: a semi-join of the feature dimension.  What the join leaves
+    is a few hundred rows at most (a track), and reaches the rows as the value
+    of a scalar subquery; names that are not in the dimension are ignored."""
+    dim = expansion_dim(df.sparkSession, base).join(names.select("name"), "name", "left_semi")
+    kept = dim.agg(F.array_sort(F.collect_list(F.struct("feature_id", "op", "i", "j"))).alias("kept"))
+    value = (f"CASE c.op WHEN 'ID' THEN t.f[c.i] WHEN 'PLUS' THEN t.f[c.i] + t.f[c.j] WHEN 'MINUS' THEN t.f[c.i] - t.f[c.j] "
+             f"WHEN 'DIV' THEN try_divide(t.f[c.i], t.f[c.j] + {RATIO_EPS}D) ELSE t.f[c.i] * t.f[c.j] END")
+    bound = f"transform(array(named_struct('f', {features}, 'k', _kept)), t -> transform(t.k, c -> {value}))[0]"
+    return df.withColumn("_kept", kept.scalar()).withColumn(features, F.expr(bound)).drop("_kept")

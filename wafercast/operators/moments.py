@@ -29,7 +29,8 @@ def width(df: DataFrame, features: str = "features") -> int:
 
 
 def _expand(x: np.ndarray, ops: list[str], include_original: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(feature ids, values of shape rows x features); an undefined ratio is NaN."""
+    """(feature ids, values of shape rows x features) in the precision of ``x``;
+    an undefined ratio is NaN."""
     d = x.shape[1]
     i, j = np.triu_indices(d, 1)
     a, b = x[:, i], x[:, j]
@@ -43,18 +44,20 @@ def _expand(x: np.ndarray, ops: list[str], include_original: bool) -> tuple[np.n
         elif op == "MUL":
             values.append(a * b)
         else:
-            low = b + RATIO_EPS
+            low = b + x.dtype.type(RATIO_EPS)
             with np.errstate(divide="ignore", invalid="ignore"):
-                values.append(np.where(low == 0, np.nan, a / low))
+                values.append(np.where(low == 0, x.dtype.type(np.nan), a / low))
     return np.concatenate(ids), np.concatenate(values, axis=1)
 
 
 def expanded_moments(df: DataFrame, ops: list[str] | None = None, include_original: bool = True,
-                     group: str | None = None) -> DataFrame:
+                     group: str | None = None, single: bool = False) -> DataFrame:
     """(grp, feature_id, n, n_null, mean, m2) of every expanded feature over
     the rows ``(features, group)``; ``grp`` is 0 without a group.  A row without
     features is left out; a null value inside is undefined, and so is what is
-    made of it; rows of different lengths are an error."""
+    made of it; rows of different lengths are an error.  With ``single`` (C13) the
+    features are cast to 32-bit floats and expanded in them, as the original
+    does; moments are doubles in either case."""
     ops = OPS if ops is None else ops
     rows = df.where(F.col("features").isNotNull()).select((F.col(group) if group else F.lit(0)).cast("int").alias("grp"), "features")
 
@@ -69,7 +72,9 @@ def expanded_moments(df: DataFrame, ops: list[str] | None = None, include_origin
             for g in np.unique(grp):
                 own = x[grp == g]
                 for at in range(0, len(own), ROWS_AT_ONCE):
-                    ids, v = _expand(own[at:at + ROWS_AT_ONCE], ops, include_original)
+                    part = own[at:at + ROWS_AT_ONCE]
+                    ids, v = _expand(part.astype(np.float32) if single else part, ops, include_original)
+                    v = v.astype(np.float64)
                     known = ~np.isnan(v)
                     n = known.sum(axis=0)
                     mean = np.where(known, v, 0.0).sum(axis=0) / np.maximum(n, 1)

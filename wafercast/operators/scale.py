@@ -20,6 +20,12 @@ def scaler_fit(train: DataFrame, features: str = "features") -> DataFrame:
                       F.when(F.col("var") == 0, F.lit(1.0)).otherwise(F.sqrt("var")).alias("std"))
 
 
+def scale_column(mean: list[float], std: list[float], features: str = "features") -> F.Column:
+    means = F.array(*[F.lit(m) for m in mean])
+    stds = F.array(*[F.lit(s) for s in std])
+    return F.transform(features, lambda x, i: (x - F.element_at(means, i + 1)) / F.element_at(stds, i + 1))
+
+
 class ScalerModel:
     """Fitted parameters held as two arrays (length = feature count)."""
 
@@ -29,9 +35,7 @@ class ScalerModel:
         self.std = [float(r["std"]) for r in rows]
 
     def column(self, features: str = "features") -> F.Column:
-        means = F.array(*[F.lit(m) for m in self.mean])
-        stds = F.array(*[F.lit(s) for s in self.std])
-        return F.transform(features, lambda x, i: (x - F.element_at(means, i + 1)) / F.element_at(stds, i + 1))
+        return scale_column(self.mean, self.std, features)
 
     def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
         return df.withColumn(features, self.column(features))

@@ -205,6 +205,10 @@ SELECT * FROM q""")
 PAIR_FEATURES = _moments_sql("(SELECT * FROM ex_plus UNION ALL SELECT * FROM ex_minus UNION ALL SELECT * FROM ex_div)")
 INTERACTION_FEATURES = _moments_sql("ex_mul")
 EXPAND_ALL = _moments_sql("ex_all")
+#: the same in REAL arithmetic, moments in DOUBLE
+EXPAND_SINGLE = (EXPAND_ALL.replace("unnest(features) AS x FROM scaled", "CAST(unnest(features) AS REAL) AS x FROM scaled")
+                 .replace("1e-6", "CAST(1e-6 AS REAL)").replace("avg(value)", "avg(CAST(value AS DOUBLE))")
+                 .replace("stddev_pop(value)", "stddev_pop(CAST(value AS DOUBLE))"))
 
 ANOVA_CTES = """
 tr AS (SELECT * FROM ex_all WHERE split = 'train'),

@@ -86,4 +86,7 @@ OVERFIT_TRIGGER = _b(f"SELECT {_COLS} FROM lbr WHERE gap > {GAP}")
 
 ALL = {"track_features": TRACK_FEATURES, "track_overlap": TRACK_OVERLAP, "track_project": TRACK_PROJECT,
        "leaderboard": LEADERBOARD, "winner": WINNER, "best_per_track": BEST_PER_TRACK, "f1_pivot": F1_PIVOT,
-       "selection_table": SELECTION_TABLE, "gap_table": GAP_TABLE, "overfit_trigger": OVERFIT_TRIGGER}
+       "selection_table": SELECTION_TABLE, "gap_table": GAP_TABLE, "overfit_trigger": OVERFIT_TRIGGER,
+       # the same rows by another way: a table of names, stage files
+       "track_by_name": TRACK_PROJECT, "expanded_stage": TRACK_PROJECT, "leaderboard_file": LEADERBOARD,
+       "gap_table_file": GAP_TABLE}

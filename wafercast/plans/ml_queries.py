@@ -101,12 +101,12 @@ def q_balanced_train(spark, sf_dir):
     return _long(balanced_rows(spark, sf_dir), ["id", "label", "is_synthetic"])
 
 
-def _moments(spark, sf_dir, ops, include_original) -> DataFrame:
+def _moments(spark, sf_dir, ops, include_original, single: bool = False) -> DataFrame:
     """Per expanded feature: count of defined values, mean, population std,
     over all scaled rows, train and test."""
     rows = scaled_rows(spark, sf_dir)
     width(rows)
-    m = expanded_moments(rows, ops, include_original)
+    m = expanded_moments(rows, ops, include_original, single=single)
     return m.select("feature_id", "n", _r("mean"), F.round(F.sqrt(F.try_divide("m2", "n")), R6).alias("std"))
 
 
@@ -122,6 +122,11 @@ def q_expand_all(spark, sf_dir):
     return _moments(spark, sf_dir, None, True)
 
 
+def q_expand_single(spark, sf_dir):
+    """The whole expansion in 32-bit floats."""
+    return _moments(spark, sf_dir, None, True, single=True)
+
+
 def _train_scores(spark, sf_dir):
     train = scaled_rows(spark, sf_dir).where(F.col("split") == "train")
     width(train)

@@ -6,7 +6,9 @@ as few partitions as the rows need.  Widths come from the data."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassificationModel
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from ..operators import models as ML
 from ..operators import sampling as S
 from ..operators.expand import chosen_features, project
 from ..operators.moments import expanded_moments, width
-from ..operators.scale import ScalerModel, scaler_fit
+from ..operators.transformers import FeatureScaler, FeatureVector
 from ..session import ensure_checkpoint_dir, write_shared
 from ..sources import stages
 from ..sources.features import features_to_matrix
@@ -27,7 +29,8 @@ from ..sources.wafers import raw_wafers
 from . import bakeoff as BO
 from .ledger import Ledger
 from .ml_queries import model_ready
-from .scoring import score_wafers
+from .scoring import WaferFeatures, score_with_pipeline
+from .tuning_loop import tuning_loop
 from .wafer_queries import clean_maps
 
 
@@ -123,16 +126,43 @@ def q_rfe_select(spark, sf_dir):
 
 
 def q_score_wafers(spark, sf_dir):
-    """Scaler and decision tree fitted on the training wafers' 66 features,
-    stored, read back and applied to all wafers."""
+    """Scaler and decision tree fitted on the training wafers' 66
+    features; with the feature stage before them they are stored as one
+    pipeline, read back and applied to all raw wafers."""
     from .features import wafer_features
     feats = write_shared(wafer_features(clean_maps(spark, sf_dir)), "features")
     split = write_shared(S.stratified_split(features_to_matrix(feats)), "split")
     train = split.where(F.col("split") == "train")
-    scaler = ScalerModel(scaler_fit(train))
-    model = ML.tree(6, 5).fit(ML.compact(ML.with_vector(scaler.transform(train))))
-    at = f"{ensure_checkpoint_dir(spark)}/scoring-{spark.sparkContext.applicationId}"
-    stages.write_scaler(spark, scaler, f"{at}/scaler")
-    stages.write_model(model, f"{at}/model")
-    return score_wafers(raw_wafers(spark, sf_dir), stages.read_scaler(spark, f"{at}/scaler"),
-                        stages.read_model(DecisionTreeClassificationModel, f"{at}/model"))
+    scaler = FeatureScaler().fit(train)
+    vector = FeatureVector()
+    rows = vector.transform(scaler.transform(train)).withColumn("label_d", F.col("label").cast("double"))
+    model = ML.tree(6, 5).fit(ML.compact(rows))
+    at = f"{ensure_checkpoint_dir(spark)}/scoring-{uuid.uuid4().hex}"
+    stages.write_model(PipelineModel([WaferFeatures(), scaler, vector, model]), at)
+    return score_with_pipeline(raw_wafers(spark, sf_dir), stages.read_model(PipelineModel, at))
+
+
+def q_tuning_loop(spark, sf_dir):
+    """A deep tree on the balanced rows, pruned and blurred until it
+    overfits less; a row a round."""
+    mr = model_ready(spark, sf_dir)
+    train = mr.where(F.col("split") == "train_balanced").select("id", "label", "features", "is_synthetic")
+    test = write_shared(mr.where(F.col("split") == "test").select("id", "label", "features"), "test")
+
+    def fit(rows):
+        model = ML.tree(10, 1).fit(ML.compact(write_shared(ML.with_vector(rows), "fit")))
+        return lambda x: ML.predict(model, ML.with_vector(x))
+
+    return tuning_loop(train, test, fit)[0]
+
+
+def q_model_importance(spark, sf_dir):
+    """Importances of the linear and the tree model on the base track,
+    keyed by track and model."""
+    train = _base(spark, sf_dir)[0]
+    d = width(train)
+    tv = ML.with_vector(train)
+    names = [f"f{i}" for i in range(d)]
+    parts = [ML.importance_table(spark, est.fit(tv), names).select(F.lit("4A_Base").alias("track"), F.lit(name).alias("model"), "*")
+             for name, est in (("LogisticReg", ML.logistic(0.1, train.count())), ("DecisionTree", ML.tree(6, 20)))]
+    return parts[0].unionByName(parts[1])

@@ -9,6 +9,8 @@ pipeline's own report operators."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from ..operators import knn as K
 from ..operators import leaderboard as LB
 from ..operators import metrics as M
 from ..operators.moments import expanded_moments, width
-from ..session import write_shared
+from ..session import ensure_checkpoint_dir, write_shared
+from ..sources import stages
 from .ml_queries import R6, model_ready
 
 #: track -> (how it is selected, features, originals only)
@@ -48,8 +51,7 @@ def track_table(train: DataFrame, d: int) -> DataFrame:
 
 def _chosen(tracks: DataFrame, track: str, d: int) -> list[tuple[int, str, int, int]]:
     ids = sorted(r["feature_id"] for r in tracks.where(F.col("track") == track).collect())
-    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
-    return [(f, "ID", f, -1) if f < d else (f, X.OPS[(f - d) % 4], *pairs[(f - d) // 4]) for f in ids]
+    return X.chosen_features(ids, d)
 
 
 def project_track(rows: DataFrame, tracks: DataFrame, track: str, d: int) -> DataFrame:
@@ -120,6 +122,44 @@ def q_track_project(spark, sf_dir):
         "id", F.col("pos").cast("int").alias("pos"), F.round("value", R6).alias("value"))
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    return rows.select("id", F.posexplode("features").alias("pos", "value")).select(
+        "id", F.col("pos").cast("int").alias("pos"), F.round("value", R6).alias("value"))
+
+
+def q_track_by_name(spark, sf_dir):
+    """The same rows as ``track_project``, the track given as a table of names."""
+    _, test, tracks, d = _setup(spark, sf_dir)
+    base = [f"f{i}" for i in range(d)]
+    dim = X.expansion_dim(spark, base)
+    names = dim.join(tracks.where("track = 'T1_Anova_25'"), "feature_id", "left_semi").select("name")
+    out = X.project_names(test, write_shared(names, "names"), base)
+    return _cells(out.withColumn("features", F.transform("features", lambda v: F.coalesce(v, F.lit(0.0)))))
+
+
+def q_expanded_stage(spark, sf_dir):
+    """Both splits of a track written as a stage, one read back by partition."""
+    train, test, tracks, d = _setup(spark, sf_dir)
+    rows = train.withColumn("split", F.lit("train_balanced")).unionByName(test.withColumn("split", F.lit("test")))
+    base = f"{ensure_checkpoint_dir(spark)}/stages-{uuid.uuid4().hex}"
+    stages.write_stage(project_track(rows, tracks, "T1_Anova_25", d), base, "expanded")
+    return _cells(stages.read_stage(spark, base, "expanded", split="test"))
+
+
+def q_leaderboard_file(spark, sf_dir):
+    """The leaderboard through its result file."""
+    base = f"{ensure_checkpoint_dir(spark)}/stages-{uuid.uuid4().hex}"
+    stages.write_stage(_rounded(leaderboard(spark, sf_dir)), base, "leaderboard")
+    return stages.read_stage(spark, base, "leaderboard")
+
+
+def q_gap_table_file(spark, sf_dir):
+    """A report table, written with its own columns."""
+    base = f"{ensure_checkpoint_dir(spark)}/stages-{uuid.uuid4().hex}"
+    stages.write_stage(q_gap_table(spark, sf_dir), base, "gap_table")
+    return stages.read_stage(spark, base, "gap_table")
+
+
 def q_leaderboard(spark, sf_dir):
     return _rounded(LB.ranked(leaderboard(spark, sf_dir)))
 
