@@ -14,7 +14,8 @@ FAST = ["clean_wafers", "median_filter", "resize_nearest", "zone_density", "wafe
         "class_histogram", "stratified_split", "kfold", "scaler_fit", "undersample", "smote",
         "knn_predict", "macro_metrics", "auc_ovr", "roc_points", "confusion_matrix", "balanced_train",
         "expand_all", "anova_f", "anova_topk", "bad_wafers", "wafer_features", "expand_single",
-        "track_by_name", "expanded_stage", "gap_table_file"]
+        "track_by_name", "expanded_stage", "gap_table_file", "raw_wafer_scan", "clean_stage", "feature_stage",
+        "scaler_stage", "model_ready_stage", "track_stage", "class_report_file"]
 
 
 @pytest.fixture(scope="module")
