@@ -108,3 +108,56 @@ def test_genetic_algorithm_keeps_every_item():
     child = packing.crossover(first, best, lengths, 100, rng)
     assert sorted(i for b in child for i in b) == list(range(300))
     assert packing._decode(packing._encode(best, 300)) and len(packing._decode(packing._encode(best, 300))) == len(best)
+
+
+# ---- other vocabularies, and the genetic algorithm where best fit is not enough
+
+def test_a_vocabulary_with_other_rules_is_read_by_the_library(spark, edge):
+    from tokenizers import Tokenizer
+    from wafercast.llm import packing, token_counts, vocab
+    own, other = (token_counts.vocabulary_path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    assert vocab.cuts_at_space(vocab.load_tokenizer(own)) and not vocab.cuts_at_space(vocab.load_tokenizer(other))
+    lib = Tokenizer.from_file(other)
+    docs = edge.where("doc_id <> 11 and doc_id <> 12")
+    want = {r.doc_id: lib.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect()}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, other).collect()} == {i: len(v) for i, v in want.items()}
+    pieces = packing.token_pieces(docs, other, end_id=1).collect()
+    import zlib
+    import numpy as np
+    assert all(r.ids_crc32 == zlib.crc32(np.array([*want[r.doc_id], 1], "<u4").tobytes()) for r in pieces)
+
+
+def test_evolution_strictly_saves_bins():
+    """Triplets that fill a bin exactly: best fit on sorted items needs more bins, evolution finds some of them."""
+    import random
+    from wafercast.llm import packing
+    saved = 0
+    for seed in range(6):
+        rng, lengths = random.Random(seed), []
+        for _ in range(8):
+            a = rng.randint(260, 480)
+            b = rng.randint(260, 1000 - a - 260)
+            lengths += [a, b, 1000 - a - b]
+        lengths.sort(reverse=True)
+        first = packing.best_fit(range(24), lengths, [], 1000)
+        best = packing.evolve(lengths, [], 1000, seed, population=12, offspring=400)
+        again = packing.evolve(lengths, [best, first], 1000, seed + 1, population=12, offspring=400)
+        assert sorted(i for b in best for i in b) == list(range(24)) and all(sum(lengths[i] for i in b) <= 1000 for b in again)
+        assert len(again) <= len(best) <= len(first)
+        saved += len(first) - len(again)
+    assert saved > 0
+
+
+def test_crossover_keeps_whole_bins_and_places_every_piece_once():
+    import random
+    from wafercast.llm import packing
+    rng = random.Random(2)
+    lengths = sorted((rng.randint(1, 600) for _ in range(60)), reverse=True)
+    a = packing.best_fit(range(60), lengths, [], 1000)
+    order = list(range(60))
+    rng.shuffle(order)
+    b = packing.best_fit(order, lengths, [], 1000)
+    child = packing.crossover(a, b, lengths, 1000, random.Random(3))
+    assert sorted(i for x in child for i in x) == list(range(60))
+    whole = {frozenset(x) for x in b}
+    assert sum(frozenset(x) in whole for x in child) >= 1

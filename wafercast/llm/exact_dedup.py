@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, read_table, shared_table, text_or_empty
+from .common import SPACE, mark_listed, read_table, shared_table, text_or_empty
 
 HASHES = 3
 SLOTS_PER_ROW = 16
@@ -101,17 +101,20 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are not kept, all columns unchanged.
 
-    Only (doc_id, digest) pairs of repeated texts are joined to the documents.
-    Of a doc_id that lists one text more than once, the longest row stays."""
+    Only rows whose doc_id has a row that goes, and few others, are digested
+    again and joined; all others pass straight through.  Of a doc_id that lists
+    one text more than once, the longest row stays."""
     repeated = exact_groups(docs).where("group_size > 1")
     flags = (repeated.groupBy("doc_id", "text_sha256")
              .agg(F.max("kept").alias("_x_stays"), F.count(F.lit(1)).alias("_x_n"))
-             .where("not _x_stays or _x_n > 1")
-             .withColumnsRenamed({"doc_id": "_x_id", "text_sha256": "_x_digest"}))
+             .where("not _x_stays or _x_n > 1"))
+    flags = shared_table(flags, "flags").withColumnsRenamed({"doc_id": "_x_id", "text_sha256": "_x_digest"})
+    marked = mark_listed(docs, ["doc_id"], flags.select(F.col("_x_id").alias("doc_id")), "_x_listed")
     key = F.sha2(F.regexp_replace(text_or_empty(), SPACE, ""), 256)
-    joined = docs.withColumn("_x_sha", key).join(
+    joined = marked.where("_x_listed").withColumn("_x_sha", key).join(
         flags, F.col("doc_id").eqNullSafe(F.col("_x_id")) & (F.col("_x_sha") == F.col("_x_digest")), "left")
-    plain = joined.where("_x_stays is null").select(*docs.columns)
+    plain = marked.where("not _x_listed").select(*docs.columns).unionByName(
+        joined.where("_x_stays is null").select(*docs.columns))
     first = Window.partitionBy("doc_id", "_x_sha").orderBy(F.desc(F.char_length(text_or_empty())), "text")
     listed = (joined.where("_x_stays").withColumn("_x_k", F.row_number().over(first))
               .where("_x_k = 1").select(*docs.columns))

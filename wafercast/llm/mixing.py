@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, read_table, shared_table, text_or_empty
+from .common import SPACE, read_table, shared_table, text_or_empty, without_listed
 
 #: The first hex digit of md5(source) names the domain.
 DOMAINS = (("0123", "web"), ("4567", "books"), ("89ab", "reference"), ("cdef", "forums"))
@@ -142,7 +142,9 @@ def keep_mix(docs: DataFrame, mix: Mix) -> DataFrame:
     if mix.max_epochs != 1:
         raise ValueError("rows are kept or not: max_epochs must be 1")
     chosen = select_mix(docs, mix).select(F.col("doc_id").alias("_x_id")).distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_x_id")), "left_semi")
+    ids = docs.select("doc_id").distinct()
+    gone = ids.join(chosen, ids["doc_id"].eqNullSafe(F.col("_x_id")), "left_anti")
+    return without_listed(docs, "doc_id", shared_table(gone, "gone"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,34 +49,37 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_table
+from .common import ByteCache, mark_listed, read_table, shared_table, slices, without_listed
 
 BANDS = 32
 ROWS = 4
 COORDS = BANDS * ROWS
 AGREE = 74
 BLOCK = 512
-WORD_CACHE = 400_000
-MAX_SLOTS = 1 << 26
+WORD_BYTES = 32 << 20
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_words: dict[bytes, int] = {}
 
 
 # ---- sets and signatures
 
-def word_hashes(text: bytes) -> np.ndarray:
-    get, out = _words.get, []
-    for w in text.translate(_LOWER).split():
-        h = get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) <= 64:
-                if len(_words) >= WORD_CACHE:
-                    _words.clear()
-                _words[w] = h
-        out.append(h)
-    return np.array(out, np.uint64)
+class WordHashes:
+    """Hashes of words, the frequent ones kept: one for each task, so that
+    nothing of it is left when the task ends."""
+
+    def __init__(self):
+        self.known = ByteCache(WORD_BYTES)
+
+    def _hash(self, w: bytes) -> int:
+        if len(w) > 64:
+            return xxhash.xxh3_64_intdigest(w)
+        h = self.known.get(w, len(w))
+        return self.known.put(w, xxhash.xxh3_64_intdigest(w), len(w)) if h is None else h
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        known, miss = self.known, self._hash
+        return np.array([miss(w) if (h := known.young.get(w)) is None else h
+                         for w in text.translate(_LOWER).split()], np.uint64)
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -87,9 +90,9 @@ def _mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: bytes | None, k: int) -> np.ndarray:
+def shingle_set(text: bytes | None, k: int, word_hashes: WordHashes | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's k-word shingles."""
-    w = word_hashes(text or b"")
+    w = (word_hashes or WordHashes())(text or b"")
     if not len(w):
         return w
     n = min(k, len(w))
@@ -125,10 +128,11 @@ def features(docs: DataFrame, k: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        words = WordHashes()
+        for batch in (part for whole in batches for part in slices(whole)):
             n, fp, sketch, bands = [], [], [], []
             for t in batch.column("text").to_pylist():
-                s = shingle_set(t, k)
+                s = shingle_set(t, k, words)
                 n.append(len(s))
                 fp.append(hashlib.md5(s.tobytes()).digest())
                 if len(s):
@@ -180,28 +184,15 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 # ---- exact checks
 
-def listed_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``ids`` lists, and a few more, without moving
-    them: a bit table of the listed doc_ids is broadcast, at most MAX_SLOTS / 64
-    words of it however long the list."""
-    n = ids.count()
-    m = min(MAX_SLOTS, 1 << max(12, (16 * n).bit_length()))
-    slot = F.pmod(F.xxhash64("doc_id", F.lit("listed")), F.lit(m))
-    bits = (ids.select(F.col("doc").alias("doc_id")).select(slot.alias("s"))
-            .select(F.expr("s div 64").alias("_x_word"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
-            .groupBy("_x_word").agg(F.bit_or("bit").alias("_x_bits")))
-    marked = docs.withColumn("_x_slot", slot).join(
-        F.broadcast(bits), F.expr("_x_slot div 64") == F.col("_x_word"))
-    return marked.where("(shiftright(_x_bits, cast(_x_slot % 64 as int)) & 1L) = 1L").select(*docs.columns)
-
-
 def shingle_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(doc, shingles) of the listed documents, and of a few others."""
-    texts = listed_only(docs.select("doc_id", F.col("text").cast("binary").alias("text")), ids)
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = mark_listed(rows, ["doc_id"], ids.select(F.col("doc").alias("doc_id")), "listed").where("listed").drop("listed")
 
     def run(batches):
-        for batch in batches:
-            sets = [shingle_set(t, k).tobytes() for t in batch.column("text").to_pylist()]
+        words = WordHashes()
+        for batch in (part for whole in batches for part in slices(whole)):
+            sets = [shingle_set(t, k, words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
                                              names=["doc", "shingles"])
 
@@ -406,9 +397,8 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     unchanged.  Rows of one doc_id stay or go together, and stay if any does;
     rows without doc_id stay."""
     groups = near_groups(docs, k, threshold).where("doc_id is not null")
-    gone = (groups.groupBy("doc_id").agg(F.max("kept").alias("_x_kept")).where("not _x_kept")
-            .select(F.col("doc_id").alias("_x_id")))
-    return docs.join(gone, docs["doc_id"] == F.col("_x_id"), "left_anti")
+    gone = groups.groupBy("doc_id").agg(F.max("kept").alias("stays")).where("not stays").select("doc_id")
+    return without_listed(docs, "doc_id", shared_table(gone, "gone"))
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

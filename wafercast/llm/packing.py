@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_table
+from .common import read_table, shared_table, slices
 from .token_counts import vocabulary_path
 from .vocab import ChunkReader, load_tokenizer
 
@@ -67,7 +67,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
 
     def run(batches):
         reader, end = _reader(path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             row, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 ids = b"".join(reader.values(text or b"")) + end

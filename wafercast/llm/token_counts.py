@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, slices
 from .vocab import ChunkReader, load_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -82,7 +82,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     def run(batches):
         reader = _reader(path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column("text").to_pylist()
             counts = [sum(reader.values(t)) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
