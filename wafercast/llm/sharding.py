@@ -11,7 +11,10 @@ The medians are distributed: a row's key is its coordinate and then its tie
 hash, in ``DIGITS`` digits of 12 bits.  A histogram of bytes over one digit, of
 the rows that share the digits found so far, finds the digit in which half
 lies; so three histograms, pre-aggregated and of at most 4,096 entries a node,
-give the cut of every node of a level.  Rows move only for the ranks in shards.
+give the cut of every node of a level.  Running sums over a node's entries are
+a window, and cuts are a table (a row a node) that is joined to the rows:
+nothing of it reaches the driver, whatever the number of shards.  Rows move only
+for the ranks in shards.
 
 The law is ``bytes``: shard sizes are near equal.  Edge cases: a null text has
 no bytes (size 1, crc 0); null language or source is a value of its own;
@@ -23,10 +26,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hash_rank, read_table, shared_table, text_or_empty
+from .common import OFFSETS, hash_rank, read_table, shared_table, text_or_empty
 
 BITS = 12
 DIGITS = 3
@@ -51,48 +54,46 @@ def metadata(docs: DataFrame) -> DataFrame:
                        F.xxhash64("doc_id", "text_crc32", "size").alias("h"))
 
 
-def _by_node(values: dict[int, object]) -> Column:
-    out = F.lit(None)
-    for node, v in values.items():
-        out = F.when(F.col("node") == node, F.col(v) if isinstance(v, str) else F.lit(v)).otherwise(out)
-    return out
-
-
-def _key(widest: dict[int, str]) -> Column:
-    """Coordinate of the node's widest dimension, then the tie hash."""
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """Adds ``key``: the coordinate of the node's widest dimension, then the tie hash."""
     ties = (DIGITS - 1) * BITS
     tie = F.pmod(F.xxhash64("h", F.lit("tie")), F.lit(1 << ties))
-    return (_by_node(widest).cast("long") * (1 << ties) + tie).cast("long")
-
-
-def find_cuts(nodes: DataFrame) -> tuple[dict[int, str], dict[int, int]]:
-    """Per node its widest dimension and the largest key that goes left."""
-    stats = nodes.groupBy("node").agg(F.sum("size").alias("b"), *[
-        f(d).alias(f"{d}_{n}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]).collect()   # a row a node
-    widest = {r["node"]: max(DIMS, key=lambda d: (r[f"{d}_hi"] - r[f"{d}_lo"], -DIMS.index(d))) for r in stats}
-    goal = {r["node"]: r["b"] / 2 for r in stats}
-    found = {n: 0 for n in goal}
-    if not goal:
-        return {}, {}
-    keyed = nodes.withColumn("key", _key(widest))
+    at = F.get(F.array(*DIMS), F.col("widest"))
+    return nodes.withColumn("key", (at.cast("long") * (1 << ties) + tie).cast("long"))
+
+
+def _of_node(rows: DataFrame, table: DataFrame, count: int) -> DataFrame:
+    """``rows`` with a table of one row a node, broadcast for at most OFFSETS nodes."""
+    return rows.join(F.broadcast(table) if count <= OFFSETS else table, "node")
+
+
+def find_cuts(nodes: DataFrame, count: int) -> DataFrame:
+    """(node, widest, found): a node's widest dimension (ties: the first) and the
+    largest key that goes left; written.  ``count``: how many nodes there are."""
+    ranges = [f"max({d}) - min({d})" for d in DIMS]
+    widest = F.expr("CASE " + " ".join(
+        "WHEN " + " AND ".join(f"{ranges[i]} >= {r}" for r in ranges[i + 1:]) + f" THEN {i}" for i in range(len(DIMS) - 1))
+        + f" ELSE {len(DIMS) - 1} END")
+    cuts = shared_table(nodes.groupBy("node").agg(widest.alias("widest"), (F.sum("size") / 2).alias("goal"))
+                        .withColumn("found", F.lit(0).cast("long")), "cuts")
     for digit in range(DIGITS):
         down = (DIGITS - 1 - digit) * BITS
-        rows = keyed if digit == 0 else keyed.where(
-            F.shiftright("key", down + BITS) == _by_node(found).cast("long"))
-        hist: dict[int, list[tuple[int, int]]] = {}
-        for r in (rows.groupBy("node", F.shiftright("key", down).alias("k")).agg(F.sum("size").alias("b"))
-                  .collect()):                                         # 2**BITS rows a node
-            hist.setdefault(r["node"], []).append((r["k"], r["b"]))
-        for n, entries in hist.items():
-            for k, b in sorted(entries):
-                if b >= goal[n] or k == max(entries)[0]:
-                    found[n] = k
-                    break
-                goal[n] -= b
-            if digit == DIGITS - 1:
-                # the entry that crosses half goes to the side that ends nearer to it
-                found[n] = k if b - goal[n] <= goal[n] else k - 1
-    return widest, found
+        rows = _keyed(_of_node(nodes, cuts, count))
+        if digit:
+            rows = rows.where(F.shiftright("key", down + BITS) == F.col("found"))
+        hist = rows.groupBy("node", F.shiftright("key", down).alias("k")).agg(F.sum("size").alias("b"))
+        run = hist.withColumn("run", F.sum("b").over(Window.partitionBy("node").orderBy("k")))     # 2**BITS rows a node
+        # the first entry that reaches the goal, or the last one there is
+        short = F.col("run") < F.col("goal")
+        best = F.min(F.struct(short.alias("short"), F.when(short, -F.col("k")).otherwise(F.col("k")).alias("order"), "k", "b", "run"))
+        picked = _of_node(run, cuts, count).groupBy("node", "widest", "goal").agg(best.alias("e"))
+        left = F.col("goal") - (F.col("e.run") - F.col("e.b"))
+        found = F.col("e.k")
+        if digit == DIGITS - 1:
+            # the entry that crosses half goes to the side that ends nearer to it
+            found = F.when(F.col("e.b") - left <= left, found).otherwise(found - 1)
+        cuts = shared_table(picked.select("node", "widest", left.alias("goal"), found.alias("found")), "cuts")
+    return cuts
 
 
 def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:
@@ -109,13 +110,14 @@ def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int |
         if 1 << depth != shards:
             raise ValueError("shards must be a power of two")
     nodes = meta.withColumn("node", F.lit(0))
-    for _ in range(depth):
-        widest, cut = find_cuts(nodes)
-        right = (_key(widest) > _by_node(cut).cast("long")).cast("int") if cut else F.lit(0)
-        # written: the next level's expressions stay small
-        nodes = shared_table(nodes.withColumn("node", F.col("node") * 2 + right), "nodes")
+    for level in range(depth):
+        cuts = find_cuts(nodes, 1 << level).select("node", "widest", "found")
+        right = (F.col("key") > F.col("found")).cast("int")
+        # written: the next level reads it several times
+        nodes = shared_table(_keyed(_of_node(nodes, cuts, 1 << level)).withColumn("node", F.col("node") * 2 + right)
+                             .select(*nodes.columns), "nodes")
     leaves = nodes.withColumnRenamed("node", "shard")
-    ranked = hash_rank(leaves, "shard", [F.col("h"), F.col("doc_id"), F.col("text_crc32")], "slot")
+    ranked = hash_rank(leaves, "shard", [F.col("h"), F.col("doc_id"), F.col("text_crc32")], "slot", groups=1 << depth)
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                          F.col("shard").cast("int").alias("shard"), "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
