@@ -192,13 +192,59 @@ def test_hash_collisions_are_caught(monkeypatch):
 
 # ---- lines
 
+def brute_lines(rows, min_run, min_words):
+    """(n_removed, n_runs, kept text) by comparing every run of every length."""
+    seen, out = {}, []
+    docs = [(i, (t or "").split("\n") if t is not None else []) for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))]
+    for at, (_, lines) in enumerate(docs):
+        for p in range(len(lines)):
+            for n in range(1, len(lines) - p + 1):
+                seen.setdefault(tuple(lines[p:p + n]), (at, p))
+    for at, (i, lines) in enumerate(docs):
+        gone = set()
+        for p in range(len(lines)):
+            for n in range(1, len(lines) - p + 1):
+                run = lines[p:p + n]
+                if (n >= min_run or sum(len(x.split()) for x in run) > min_words) and seen[tuple(run)] < (at, p):
+                    gone |= set(range(p, p + n))
+        out.append((i, len(gone), sum(p - 1 not in gone for p in gone), "\n".join(x for p, x in enumerate(lines) if p not in gone)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_run,min_words", [(4, 50), (4, 5), (3, 6), (1, 0), (6, 4)])
+def test_lines_match_every_run_compared(spark, min_run, min_words):
+    rng = np.random.default_rng(min_run * 10 + min_words)
+    pool = ["a", "b", "c d", "e f g h", "", "i " * 60, "j k l m n o p q", "r s t"]
+    rows = [(i, "\n".join(pool[j] for j in rng.integers(0, len(pool), rng.integers(1, 14)))) for i in range(25)]
+    rows += [(100, None), (101, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_removed, r.n_runs, r.kept_text) for r in line_dedup.remove_runs(df, min_run, min_words).collect()), key=str)
+    assert got == brute_lines(rows, min_run, min_words)
+
+
+def test_long_lines_and_short_documents_are_found(spark):
+    long = " ".join(f"w{i}" for i in range(51))
+    rows = [(1, long), (2, long), (3, f"own\n{long}\nmore"), (4, " ".join(f"w{i}" for i in range(50))), (5, " ".join(f"w{i}" for i in range(50)))]
+    by = {r.doc_id: r for r in line_dedup.remove_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [by[i].n_removed for i in range(1, 6)] == [0, 1, 1, 0, 0]
+    assert by[3].kept_text == "own\nmore"
+
+
 def test_lines_edge_cases(edge, empty):
     by = {r.doc_id: r for r in line_dedup.remove_runs(edge, min_run=4).collect()}
     assert (by[17].n_lines, by[17].n_removed, by[17].n_runs, by[17].kept_text) == (10, 4, 1, "a\nb\nc\nd\ne\nz")
     assert (by[18].n_removed, by[18].kept_text) == (4, "q")
     assert (by[6].n_lines, by[7].n_lines, by[6].kept_text) == (0, 1, "")
-    assert by[3].n_removed == 0
+    assert by[3].n_removed == 0 and (by[2].n_removed, by[2].kept_text) == (1, "")
     assert line_dedup.remove_runs(edge).count() == len(ROWS)
     assert line_dedup.remove_runs(empty).count() == 0
     one = {r.doc_id: r for r in line_dedup.remove_runs(edge, min_run=1).collect()}
     assert one[18].kept_text == "q" and one[2].kept_text == ""
+
+
+def test_suffix_dedup_takes_ids_of_any_type(spark):
+    rng = np.random.default_rng(8)
+    part = "".join(chr(97 + c) for c in rng.integers(0, 26, 80))
+    rows = [("b9", "x" + part + "y"), ("b10", part), ("a", "own text " + part), (None, part), ("c", "short")]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": 0, "b10": 80, "b9": 80, "c": 0, None: 0}      # ids in string order

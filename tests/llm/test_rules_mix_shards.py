@@ -98,6 +98,34 @@ def test_masks_return_every_language(spark):
     assert len({round(v) for v in model.corrected("bbbb")}) == 1
 
 
+# ---- language masks against plain sets
+
+def test_language_filters_against_plain_sets(spark):
+    """Corrected popcounts are the counts of plain set membership, up to the
+    filters' false positives, and so are the predictions."""
+    rng = np.random.default_rng(3)
+    words = {lang: ["".join(rng.choice(list(letters), 5)) for _ in range(40)] for lang, letters in
+             (("aa", "bcdfgx"), ("bb", "hjklmx"), ("cc", "npqrsx"))}
+    rows = [(i, " ".join(rng.choice(words[lang], 30)), lang, "s") for i, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    langs, masks = language_id.learn(documents(spark, rows))
+    model = language_id.Identifier(langs, masks)
+    kept = {}
+    for lang in langs:
+        for n in range(len(language_id.SIZES)):
+            g, c = np.unique(np.concatenate([language_id.grams(t)[n] for _, t, x, _ in rows if x == lang]), return_counts=True)
+            kept[lang, n] = set(g[c >= c.sum() * language_id.SHARE].tolist())
+    mixed = [" ".join(rng.choice(words["aa"], 20).tolist() + rng.choice(words["bb"], 5).tolist()) for _ in range(20)]
+    for text in mixed + [t for _, t, _, _ in rows[:30]]:
+        per = language_id.grams(text)
+        plain = np.array([sum(x in kept[lang, n] for n, g in enumerate(per) for x in g.tolist()) for lang in langs])
+        got, size = model.corrected(text), sum(map(len, per))
+        # nothing learned is missed, and hardly anything else is counted
+        assert (np.abs(got - plain) <= 0.02 * size + 2).all()
+        if sorted(plain)[-1] > sorted(plain)[-2] + 0.1 * size:
+            assert model.predict(text)[0] == langs[int(plain.argmax())]
+    assert model.predict("xyz" * 3)[0] in langs and model.predict("123")[0] == "und"
+
+
 # ---- mixing
 
 def water_fill(budget, nodes):
@@ -157,6 +185,46 @@ def test_shards(spark, small):
     assert load.max() - load.min() <= 2 * got["size"].max()
 
 
+def plain_shards(rows, depth):
+    """Recursive weighted medians over (doc_id, size, coordinates, tie) rows, one by one."""
+    def split(part, level, node, out):
+        if level == depth:
+            out.update({r[0]: node for r in part})
+            return
+        if not part:
+            return
+        spans = [max(r[2][i] for r in part) - min(r[2][i] for r in part) for i in range(3)]
+        dim = spans.index(max(spans))
+        part = sorted(part, key=lambda r: (r[2][dim], r[3]))
+        goal, run, keys = sum(r[1] for r in part) / 2, 0, {}
+        for r in part:
+            keys.setdefault((r[2][dim], r[3]), []).append(r)
+        left = []
+        for group in keys.values():
+            b = sum(r[1] for r in group)
+            if run + b >= goal:
+                if run + b - goal <= goal - run:
+                    left += group
+                break
+            run += b
+            left += group
+        ids = {id(r) for r in left}
+        split(left, level + 1, 2 * node, out)
+        split([r for r in part if id(r) not in ids], level + 1, 2 * node + 1, out)
+    out = {}
+    split(rows, 0, 0, out)
+    return out
+
+
+def test_shards_equal_recursive_medians(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    ties = (sharding.DIGITS - 1) * sharding.BITS
+    meta = sharding.metadata(docs).withColumn("tie", F.pmod(F.xxhash64("h", F.lit("tie")), F.lit(1 << ties))).collect()
+    want = plain_shards([(r.doc_id, r["size"], (r.c_lang, r.c_source, r.c_size), r.tie) for r in meta], 4)
+    got = {r.doc_id: r.shard for r in sharding.kd_shards(docs).collect()}
+    assert got == want
+
+
 def test_shards_equal_dimensions_and_edges(spark, edge, empty):
     rows = [(i, "x" * 99, "en", "s") for i in range(640)]
     load = sharding.kd_shards(documents(spark, rows)).groupBy("shard").count().toPandas()["count"]
