@@ -19,8 +19,8 @@ from collections.abc import Callable
 
 from .common import ByteCache
 
-CHUNK_BYTES = 32 << 20
-PIECE_BYTES = 16 << 20
+CHUNK_BYTES = 160 << 20
+PIECE_BYTES = 64 << 20
 LONG = 64
 #: The pattern of word_bpe_49k.json, for lower-case texts of ASCII
 #: and the Latin letters below U+0250, which are their own normal form.
