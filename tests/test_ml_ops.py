@@ -255,3 +255,17 @@ def test_balance_falls_back_when_a_class_is_too_small(spark):
     assert B.class_sizes(df) == [2, 10, 10] and B.median_size([2, 10, 10]) == 10
     out = B.balance(df, 10)
     assert out.count() == 22 and out.where("is_synthetic").count() == 0
+
+
+def test_moments_leave_one_row_a_task_and_feature(spark, monkeypatch):
+    from wafercast.operators import moments
+    x = np.random.default_rng(4).normal(size=(1500, 3)) + 1e3
+    df = spark.createDataFrame([(i % 2, v.tolist()) for i, v in enumerate(x)], "label int, features array<double>").coalesce(1)
+    got = {(r.grp, r.feature_id): r for r in moments.expanded_moments(df, group="label").collect()}
+    for g in (0, 1):
+        own = x[g::2]
+        for f, v in ((0, own[:, 0]), (2, own[:, 2]), (3, own[:, 0] + own[:, 1])):
+            assert got[g, f].n == 750 and got[g, f].mean == pytest.approx(v.mean(), rel=1e-12)
+            assert got[g, f].m2 == pytest.approx(((v - v.mean()) ** 2).sum(), rel=1e-9)
+    monkeypatch.setattr(moments, "merge", lambda parts, keys: parts)
+    assert moments.expanded_moments(df, group="label").count() == 2 * (3 + 4 * 3)

@@ -78,3 +78,19 @@ def test_stored_model_scores_new_wafers(spark):
     assert got.count() == n
     pred = got.select(F.col("wafer_id").alias("id"), "label", "prediction")
     assert M.macro_metrics(pred).first()["f1_macro"] > 0.5
+
+
+def test_features_are_made_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from wafercast.functions.constants import FEATURE_NAMES
+    made = spark.sparkContext.accumulator(0)
+
+    def count(i):
+        made.add(1)
+        return i
+
+    key = F.udf(count, "long").asNondeterministic()
+    wide = spark.range(6).select(key("id").alias("wafer_id"), *[F.lit(0.5).alias(n) for n in FEATURE_NAMES], F.lit(1).alias("target"))
+    S.write_features(wide, str(tmp_path))
+    assert made.value == 6
+    assert sorted(r.wafer_id for r in S.read_feature_csv(spark, str(tmp_path)).collect()) == list(range(6))
