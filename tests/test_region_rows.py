@@ -60,3 +60,27 @@ def test_points_on_a_straight_side_are_no_corners(spark):
     df = spark.createDataFrame([([(r, 5, 63) for r in range(64)],)], "ext array<struct<r: int, lo: int, hi: int>>")
     points = G._let({"e": "ext"}, G._corners("lo", ""))
     assert [(p.y, p.x) for p in df.select(F.expr(points).alias("p")).first().p] == [(0, 10), (1, 9), (127, 9), (128, 10)]
+
+
+def test_derived_maps_choose_their_pattern_once(spark):
+    """The class chooses among maps, not among patterns at every cell; the cells are those of the one expression."""
+    from wafercast.sources.wafers import cell_sql, raw_wafers_from_part
+
+    part = spark.createDataFrame([(k, 3 * k % 50) for k in range(1, 45)], "p_partkey long, p_size int")
+    raw = raw_wafers_from_part(part)
+    plan = raw.select("waferMap")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN (k#") < plan.index("transform(")
+    cells = raw.selectExpr("wafer_id", "h", "w", "cast(wafer_id % 10 as int) as k", "posexplode(waferMap) as (r, row)").selectExpr(
+        "*", "posexplode(row) as (c, v)")
+    assert cells.where(f"v <> {cell_sql('spark')}").count() == 0
+    assert cells.count() == sum(r.h * r.w - (r.wafer_id % 37 == 5) for r in raw.select("h", "w", "wafer_id").collect())
+
+
+def test_resize_of_tall_and_low_maps(spark):
+    from wafercast.operators.clean import resize_expr
+
+    maps = [[[(a * 7 + b) % 3 for b in range(20)] for a in range(h)] for h in (9, 64, 100)]
+    df = spark.createDataFrame([(i, len(m), 20, m) for i, m in enumerate(maps)], "i int, h int, w int, waferMap array<array<tinyint>>")
+    for r in df.select("i", "h", resize_expr().alias("m")).collect():
+        at = [(2 * i * (r.h - 1) + 63) // 126 for i in range(64)]
+        assert r.m == [[maps[r.i][a][(2 * j * 19 + 63) // 126] for j in range(64)] for a in at]
