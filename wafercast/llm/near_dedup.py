@@ -338,16 +338,30 @@ def _join_links(threshold: int, schema: pa.Schema):
     return run
 
 
+def bucket_members(reps: DataFrame) -> DataFrame:
+    """(bucket, band, doc, leader) of the buckets with several documents."""
+    buckets = reps.select("doc", F.posexplode("bands").alias("band", "bucket"))
+    leaders = (buckets.groupBy("bucket").agg(F.min("doc").alias("leader"), F.count(F.lit(1)).alias("size"))
+               .where("size > 1").select("bucket", "leader"))
+    # 32 rows a document, which Spark counts as one when it sizes a table for a broadcast
+    return buckets.join(leaders.hint("merge"), "bucket").select("bucket", "band", "doc", "leader")
+
+
+def open_members(own: DataFrame) -> DataFrame:
+    """(bucket, band, doc, comp, blocks) of the buckets with several components."""
+    opened = (own.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                        F.count(F.lit(1)).alias("size"))
+              .where("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    return own.join(opened.hint("merge"), "bucket")     # as above: the files are small, the rows many
+
+
 def rest_links(reps: DataFrame, members: DataFrame, labels: DataFrame, docs: DataFrame, k: int,
                threshold: int) -> DataFrame:
     """Verified links that join components, from the buckets with several."""
     own = (members.select("bucket", "band", "doc").join(labels, members["doc"] == labels["v"], "left")
            .select("bucket", "band", "doc", F.coalesce("comp", "doc").alias("comp")))
     own = shared_table(own, "members")
-    opened = (own.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.count(F.lit(1)).alias("size"))
-              .where("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = (own.join(opened, "bucket").join(reps.select("doc", "n", "sketch", "bands"), "doc")
+    rows = (open_members(own).join(reps.select("doc", "n", "sketch", "bands"), "doc")
             .withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("b_i", F.least("block", "other")).withColumn("b_j", F.greatest("block", "other"))
@@ -374,10 +388,7 @@ def near_groups(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
         F.first("bands").alias("bands"))
     classes = shared_table(classes, "classes")
     reps = classes.select("doc", "n", "sketch", "bands")
-    buckets = reps.select("doc", F.posexplode("bands").alias("band", "bucket"))
-    leaders = (buckets.groupBy("bucket").agg(F.min("doc").alias("leader"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("bucket", "leader"))
-    members = shared_table(buckets.join(leaders, "bucket").select("bucket", "band", "doc", "leader"), "buckets")
+    members = shared_table(bucket_members(reps), "buckets")
     stars = star_links(reps, members, docs, k, threshold)
     labels = components(stars)
     rest = rest_links(reps, members, labels, docs, k, threshold)
